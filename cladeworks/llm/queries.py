@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, sstable, warc
 
 QUERIES = {
+    "op5_warc_round_trip": warc.op5_warc_round_trip,
+    "op6_sstable_tokens": sstable.op6_sstable_tokens,
     "op10_pareto_mixing": mixing.op10_pareto_mixing,
 }
 
 ORACLE_SQL = {
+    "op5_warc_round_trip": warc.SQL,
     "op10_pareto_mixing": mixing.SQL,
 }
