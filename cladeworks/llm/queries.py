@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, sstable, warc
+from . import linkgraph, mixing, sstable, topk, warc
 
 QUERIES = {
+    "op1_link_graph": linkgraph.op1_link_graph,
     "op5_warc_round_trip": warc.op5_warc_round_trip,
     "op6_sstable_tokens": sstable.op6_sstable_tokens,
+    "op8_impact_topk": topk.op8_impact_topk,
     "op10_pareto_mixing": mixing.op10_pareto_mixing,
 }
 
 ORACLE_SQL = {
     "op5_warc_round_trip": warc.SQL,
+    "op8_impact_topk": topk.SQL,
     "op10_pareto_mixing": mixing.SQL,
 }
