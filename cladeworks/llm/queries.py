@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import linkgraph, mixing, sstable, topk, warc
+from . import linkgraph, mixing, sstable, topk, toxicity, warc
 
 QUERIES = {
     "op1_link_graph": linkgraph.op1_link_graph,
     "op5_warc_round_trip": warc.op5_warc_round_trip,
     "op6_sstable_tokens": sstable.op6_sstable_tokens,
     "op8_impact_topk": topk.op8_impact_topk,
+    "op9_noisy_channel_toxicity": toxicity.op9_noisy_channel_toxicity,
     "op10_pareto_mixing": mixing.op10_pareto_mixing,
 }
 
