@@ -35,7 +35,7 @@ MAGIC = b"CWSST001"
 FOOTER = struct.Struct("<QQQQQQI8s")
 RESTART, BLOCK_BYTES, END_ID = 16, 1 << 18, 1
 BITS_PER_KEY, PROBES = 10, 7
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 DOC = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -183,24 +183,61 @@ class Shard:
 class _Words(dict):
     """Identifiers (little-endian 32-bit) of chunks without blanks, encoded when first seen.
 
-    The tokenizer drops white space and never joins what it separates, so a text's
-    identifiers are its chunks' identifiers in order.
+    A vocabulary with word ends drops white space and never joins what it separates,
+    so a text's identifiers are its chunks' identifiers in order. Chunks of letters
+    alone are one word each and are encoded many at a time, told apart by their word
+    ends. Texts are encoded as a whole with any other vocabulary.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.by_chunk = bool(self.ends.any())
+        self.marks = {x: self._each([x])[0] for x in ".,"}
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> None:
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # a letter without a word end of its own
+                self.update(zip(part, self._each(part), strict=True))
+                continue
+            data, a = ids.tobytes(), 0
+            for word, b in zip(part, (ends * 4).tolist(), strict=True):
+                self[word] = data[a:b]
+                a = b
+
+    def _learn(self, new: set[str]) -> None:
+        plain: dict[str, tuple[str, bytes]] = {}
+        rest = []
+        for w in new:
+            tail = self.marks.get(w[-1:], b"")
+            core = w[:-1] if tail else w
+            if core.isalpha():
+                plain[w] = (core.lower() if core.isascii() else core, tail)
+            else:
+                rest.append(w)
+        self._letters(list({core for core, _ in plain.values()} - self.keys()))
+        self.update((w, self[core] + tail) for w, (core, tail) in plain.items())
+        self.update(zip(rest, self._each(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_chunk:
+            return self._each(texts)
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for c in chunks for w in c if w not in self})
-        if len(self) + len(new) > CACHE_WORDS:
+        new = {w for c in chunks for w in c} - self.keys()
+        if len(self) + 2 * len(new) > CACHE_WORDS:
             self.clear()
-            new = list({w for c in chunks for w in c})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            new = {w for c in chunks for w in c}
+        self._learn(new)
         return [b"".join(map(self.__getitem__, c)) for c in chunks]
 
 
