@@ -62,3 +62,34 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     if data is None or not len(column):
         return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[_LOWER]
+_BASE, _INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
+
+
+def words_in(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of non-blank bytes) of texts; a word also ends before each byte marked in ``cuts``."""
+    inside, edge = ~BLANK[data], np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    if cuts is not None:
+        edge[:-1] |= cuts
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    return np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
+
+
+def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans, A-Z read as a-z: polynomials of the bytes' random values, read off a running sum."""
+    n = len(data) + 1
+    powers, inverses = np.full(n, _BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
+    powers[0] = inverses[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    np.multiply.accumulate(inverses, out=inverses)
+    running = np.zeros(n, np.uint64)
+    np.cumsum(_BYTE[data] * powers[:-1], out=running[1:])
+    return mix64((running[ends] - running[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import linkgraph, mixing, sstable, topk, toxicity, warc
+from . import linkgraph, mixing, ngramjoin, sstable, topk, toxicity, warc
 
 QUERIES = {
     "op1_link_graph": linkgraph.op1_link_graph,
     "op5_warc_round_trip": warc.op5_warc_round_trip,
     "op6_sstable_tokens": sstable.op6_sstable_tokens,
+    "op7_count_rtree_join": ngramjoin.op7_count_rtree_join,
     "op8_impact_topk": topk.op8_impact_topk,
     "op9_noisy_channel_toxicity": toxicity.op9_noisy_channel_toxicity,
     "op10_pareto_mixing": mixing.op10_pareto_mixing,
