@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, linkgraph, mixing, ngramjoin, sstable, topk, toxicity, warc
+from . import decontaminate, linkgraph, mixing, ngramjoin, sstable, surrogates, topk, toxicity, warc
 
 QUERIES = {
     "op1_link_graph": linkgraph.op1_link_graph,
     "op3_template_decontamination": decontaminate.op3_template_decontamination,
+    "op4_surrogate_generation": surrogates.op4_surrogate_generation,
     "op5_warc_round_trip": warc.op5_warc_round_trip,
     "op6_sstable_tokens": sstable.op6_sstable_tokens,
     "op7_count_rtree_join": ngramjoin.op7_count_rtree_join,
