@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import mix64, shared_dir, small, table, written
+from .common import BLANK, hashes_of, mix64, shared_dir, small, table, text_bytes, words_in, written
 from .files import reading, writing
 
 MAGIC = b"CWSST001"
 FOOTER = struct.Struct("<QQQQQQI8s")
 RESTART, BLOCK_BYTES, END_ID = 16, 1 << 18, 1
 BITS_PER_KEY, PROBES = 10, 7
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 3_000_000
 DOC = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -180,13 +180,15 @@ class Shard:
         return next((ids for k, ids in self.entries(block) if k == key), None) if block < len(self.keys) else None
 
 
-class _Words(dict):
-    """Identifiers (little-endian 32-bit) of chunks without blanks, encoded when first seen.
+class Encoder:
+    """Token identifiers of whole texts, the same as the tokenizer's own.
 
-    A vocabulary with word ends drops white space and never joins what it separates,
-    so a text's identifiers are its chunks' identifiers in order. Chunks of letters
-    alone are one word each and are encoded many at a time, told apart by their word
-    ends. Texts are encoded as a whole with any other vocabulary.
+    A vocabulary with word ends drops white space and never joins what it separates, so
+    a text's identifiers are its words' in order. Words are cut at ASCII blanks (and
+    before a full stop or comma that ends one after an ASCII letter), looked up by their
+    64-bit hash, and encoded when first seen; words of letters alone are encoded many at
+    a time and told apart by their word ends. Texts are encoded as a whole with any
+    other vocabulary.
     """
 
     def __init__(self, path: str):
@@ -196,60 +198,88 @@ class _Words(dict):
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.by_chunk = bool(self.ends.any())
-        self.marks = {x: self._each([x])[0] for x in ".,"}
+        self.by_word = bool(self.ends.any())
+        self.forget()
 
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def forget(self) -> None:
+        self.known, self.at, self.n = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
 
-    def _letters(self, words: list[str]) -> None:
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of some words end to end, and how many each has, words of letters first."""
+        ids, n = [], []
         for at in range(0, len(words), 1000):
             part = words[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):  # a letter without a word end of its own
-                self.update(zip(part, self._each(part), strict=True))
-                continue
-            data, a = ids.tobytes(), 0
-            for word, b in zip(part, (ends * 4).tolist(), strict=True):
-                self[word] = data[a:b]
-                a = b
-
-    def _learn(self, new: set[str]) -> None:
-        plain: dict[str, tuple[str, bytes]] = {}
-        rest = []
-        for w in new:
-            tail = self.marks.get(w[-1:], b"")
-            core = w[:-1] if tail else w
-            if core.isalpha():
-                plain[w] = (core.lower() if core.isascii() else core, tail)
-            else:
-                rest.append(w)
-        self._letters(list({core for core, _ in plain.values()} - self.keys()))
-        self.update((w, self[core] + tail) for w, (core, tail) in plain.items())
-        self.update(zip(rest, self._each(rest), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
-            return self._each(texts)
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for c in chunks for w in c} - self.keys()
-        if len(self) + 2 * len(new) > CACHE_WORDS:
-            self.clear()
-            new = {w for c in chunks for w in c}
-        self._learn(new)
-        return [b"".join(map(self.__getitem__, c)) for c in chunks]
-
-
-_LOADED: dict[str, _Words] = {}
-
-
-def words_of(path: str) -> _Words:
+            if part[-1].isalpha() and part[0].isalpha():
+                x = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+                ends = np.flatnonzero(self.ends[x]) + 1
+                if len(ends) == len(part):
+                    ids.append(x)
+                    n.append(np.diff(ends, prepend=0))
+                    continue
+            each = self._each(part)
+            ids.append(np.array([i for x in each for i in x], np.uint32))
+            n.append(np.array([len(x) for x in each], np.int64))
+        return (np.concatenate(ids), np.concatenate(n)) if ids else (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        plain = np.array([w.isalpha() for w in words], bool)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        k = int(plain.sum())
+        parts = [self._words([words[i] for i in x.tolist()]) for x in (order[:k], order[k:])]
+        ids, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        known = np.concatenate([self.known, hashes[order]])
+        at = np.concatenate([self.at, self.used + np.cumsum(n) - n])
+        self.used += len(ids)
+        by = np.argsort(known, kind="stable")
+        self.known, self.at, self.n = known[by], at[by], np.concatenate([self.n, n])[by]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The identifiers of texts (bytes and offsets) end to end, and the n + 1 offsets of texts in them."""
+        if not self.by_word:
+            each = self._each([data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+            return np.array([i for x in each for i in x], np.uint32), np.cumsum([0, *map(len, each)])
+        last, letter = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        if len(data):
+            last[:-1], last[-1] = BLANK[data[1:]], True
+            last[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = True
+            letter[1:] = (data[:-1] | 32 >= ord("a")) & (data[:-1] | 32 <= ord("z"))
+            letter[offsets[:-1][offsets[:-1] < len(data)]] = False
+        starts, ends = words_in(data, offsets, ((data == ord(".")) | (data == ord(","))) & last & letter)
+        hashes, first, of = np.unique(hashes_of(data, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        new[place < len(self.known)] = self.known[place[place < len(self.known)]] != hashes[place < len(self.known)]
+        if len(self.known) + int(new.sum()) > CACHE_WORDS:
+            self.forget()
+            new[:] = True
+        if new.any():
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            self._learn(hashes[new], [raw[a:b].decode() for a, b in spans])
+            place = np.searchsorted(self.known, hashes)
+        place = place[of]
+        n = self.n[place]
+        stop = np.cumsum(n)
+        ids = self.ids[np.repeat(self.at[place] - stop + n, n) + np.arange(stop[-1] if len(stop) else 0)]
+        return ids, np.concatenate([[0], stop])[np.searchsorted(starts, offsets)]
+
+
+_LOADED: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
     if path not in _LOADED:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _LOADED[path] = _Words(path)
+        _LOADED[path] = Encoder(path)
     return _LOADED[path]
 
 
@@ -269,19 +299,21 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
         from pyspark import TaskContext
 
         shard, writer = TaskContext.get().partitionId(), None
-        words = words_of(vocabulary or default_vocabulary())
-        end = np.array([END_ID], "<u4").tobytes()
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
+        encode = encoder(vocabulary or default_vocabulary()).encode
         with writing(folder, f"shard-{shard:05d}") as (uri, out):
             writer = Writer(out)
             for b in itertools.chain([first], batches):
-                for at in range(0, b.num_rows, 200):
-                    part = b.slice(at, 200)
-                    ids = words.encode([t or "" for t in part.column(1).to_pylist()])
-                    for doc_id, data in zip(part.column(0).to_pylist(), ids, strict=True):
-                        writer.add(doc_id, np.frombuffer(data + end, "<u4"))
+                _, offsets = text_bytes(b.column(1))
+                at = 0
+                while at < b.num_rows:
+                    to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
+                    ids, cut = encode(*text_bytes(b.column(1).slice(at, to - at)))
+                    for doc_id, x, y in zip(b.column(0).slice(at, to - at).to_pylist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                        writer.add(doc_id, np.append(ids[x:y], np.uint32(END_ID)))
+                    at = to
             writer.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [uri], "docs": [writer.docs], "tokens": [writer.tokens]}, schema=schema)
 
