@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, linkgraph, mixing, ngramjoin, sstable, surrogates, topk, toxicity, warc
+from . import decontaminate, linkgraph, mixing, ngramjoin, sstable, suffixdedup, surrogates, topk, toxicity, warc
 
 QUERIES = {
     "op1_link_graph": linkgraph.op1_link_graph,
+    "op2_suffix_array_dedup": suffixdedup.op2_suffix_array_dedup,
     "op3_template_decontamination": decontaminate.op3_template_decontamination,
     "op4_surrogate_generation": surrogates.op4_surrogate_generation,
     "op5_warc_round_trip": warc.op5_warc_round_trip,
