@@ -46,3 +46,20 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALIGNMENTS = """a as (select source as aln_id, lang || '@' || lpad(cast(doc_id as varchar), 8, '0') as seq_id, rpad(regexp_replace(substr(text, 1, 200), '[^A-Za-z]', '-', 'g'), 200, '-') as row from documents)"""
+
+
+def gene_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tree_id, newick: customers of half a nation as tips, market segments as clades, balances as branch lengths."""
+    c = table(spark, sf_dir, "customer")
+    tip = F.concat(F.substring("c_mktsegment", 1, 4), F.lit("_"), F.col("c_custkey").cast("string"), F.lit(":"), F.format_string("%.4f", (F.col("c_acctbal") + 1000) / 30000))
+    tree = F.concat_ws("-", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 2).cast("string"))
+    clades = c.select(tree.alias("tree_id"), "c_mktsegment", tip.alias("tip")).groupBy("tree_id", "c_mktsegment").agg(F.array_sort(F.collect_list("tip")).alias("tips"))
+    clade = F.when(F.size("tips") > 1, F.concat(F.lit("("), F.array_join("tips", ","), F.lit("):0.015"))).otherwise(F.get("tips", F.lit(0)))
+    trees = clades.groupBy("tree_id").agg(F.array_sort(F.collect_list(clade)).alias("clades"))
+    return trees.select("tree_id", F.concat(F.lit("("), F.array_join("clades", ","), F.lit(");")).alias("newick"))
+
+
+def families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """aln_id, seq_id, sequence: the first 120 letters A, C, G, T of documents in small groups."""
+    s = sequences(spark, sf_dir)
+    return s.select(F.concat(F.lit("f"), (F.col("ordinal") % 200).cast("string")).alias("aln_id"), F.col("seq_name").alias("seq_id"), F.substring("sequence", 1, 120).alias("sequence")).where(F.length("sequence") > 0)

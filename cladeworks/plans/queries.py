@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alignments as al
-from ..operators import graphs, hits, names, summaries
+from ..operators import graphs, hits, kernels, names, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, HITS, SEQUENCES, table
 
@@ -279,3 +279,78 @@ def rpt_iteration_flow(spark, d) -> DataFrame:
 def rpt_mafft_summary(spark, d) -> DataFrame:
     e = table(spark, d, "events")
     return summaries.success_rates(e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("iteration")).agg(F.count("*").alias("n_in"), F.count_if(F.col("value") > 10).alias("n_out")))
+
+
+@query()
+def trim_tips(spark, d) -> DataFrame:
+    return kernels.trim_tips(br.gene_trees(spark, d))
+
+
+@query()
+def mask_driver(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    tree = F.concat_ws("-", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 2).cast("string"))
+    rows = c.select(tree.alias("aln_id"), F.concat(F.substring("c_mktsegment", 1, 4), F.lit("_"), F.col("c_custkey").cast("string")).alias("seq_id"), F.rpad("c_name", 30, "-").alias("row"))
+    return kernels.mask_tips(br.gene_trees(spark, d), rows, paraphyletic=True)
+
+
+@query()
+def cut_branches(spark, d) -> DataFrame:
+    return kernels.cut_branches(br.gene_trees(spark, d), longest=0.01, least_taxa=1, least_piece=1)
+
+
+@query()
+def ortholog_mi(spark, d) -> DataFrame:
+    return kernels.prune_orthologs(br.gene_trees(spark, d))
+
+
+@query()
+def iteration_router(spark, d) -> DataFrame:
+    done, again = kernels.route(kernels.trim_tips(br.gene_trees(spark, d)), last=False)
+    return done.withColumn("again", F.lit(False)).union(again.withColumn("again", F.lit(True)))
+
+
+@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as tips, round(sum(round((c_acctbal + 1000) / 30000, 4)), 4) as total from customer group by 1")
+def scan_newick(spark, d) -> DataFrame:
+    n = kernels.nodes(br.gene_trees(spark, d)).where("is_tip")
+    return n.groupBy("tree_id").agg(F.count("*").alias("tips"), F.round(F.sum("length"), 4).alias("total"))
+
+
+@query()
+def align_mafft(spark, d) -> DataFrame:
+    return kernels.align(br.families(spark, d))
+
+
+@query()
+def tree_ml_fast(spark, d) -> DataFrame:
+    return kernels.distance_trees(kernels.align(br.families(spark, d)))
+
+
+@query()
+def tree_ml_boot(spark, d) -> DataFrame:
+    return kernels.distance_trees(kernels.align(br.families(spark, d)), replicates=10)
+
+
+@query()
+def species_distances(spark, d) -> DataFrame:
+    return kernels.species_distances(kernels.distance_trees(kernels.align(br.families(spark, d))))
+
+
+@query()
+def bes_collect(spark, d) -> DataFrame:
+    species = "(((en,de),fr),es);"
+    trees = kernels.distance_trees(kernels.align(br.families(spark, d)))
+    one = trees.select("tree_id", F.regexp_replace("newick", r"_[0-9]+", "").alias("newick"))
+    return kernels.branch_observations(species, one)
+
+
+@query()
+def hc_run(spark, d) -> DataFrame:
+    s = br.families(spark, d).select(hits.taxon_of(F.col("seq_id")).alias("node"), "seq_id", F.substring("sequence", 1, 60).alias("sequence"))
+    return kernels.cluster_up(s, "((en,de)N1,(fr,es)N2)N0;", 0.9)
+
+
+@query()
+def all_by_all(spark, d) -> DataFrame:
+    s = br.families(spark, d).select("seq_id", "sequence")
+    return kernels.aligned_hits(s, kernels.kmer_hits(s, 10, 8, 5))
