@@ -51,7 +51,7 @@ ALIGNMENTS = """a as (select source as aln_id, lang || '@' || lpad(cast(doc_id a
 def gene_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tree_id, newick: customers of half a nation as tips, market segments as clades, balances as branch lengths."""
     c = table(spark, sf_dir, "customer")
-    tip = F.concat(F.substring("c_mktsegment", 1, 4), F.lit("_"), F.col("c_custkey").cast("string"), F.lit(":"), F.format_string("%.4f", (F.col("c_acctbal") + 1000) / 30000))
+    tip = F.concat(F.substring("c_mktsegment", 1, 4), F.lit("_"), F.col("c_custkey").cast("string"), F.lit(":0."), F.lpad(F.floor((F.col("c_acctbal") + 1000) * 3).cast("string"), 5, "0"))
     tree = F.concat_ws("-", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 2).cast("string"))
     clades = c.select(tree.alias("tree_id"), "c_mktsegment", tip.alias("tip")).groupBy("tree_id", "c_mktsegment").agg(F.array_sort(F.collect_list("tip")).alias("tips"))
     clade = F.when(F.size("tips") > 1, F.concat(F.lit("("), F.array_join("tips", ","), F.lit("):0.015"))).otherwise(F.get("tips", F.lit(0)))

@@ -310,7 +310,7 @@ def iteration_router(spark, d) -> DataFrame:
     return done.withColumn("again", F.lit(False)).union(again.withColumn("again", F.lit(True)))
 
 
-@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as tips, round(sum(round((c_acctbal + 1000) / 30000, 4)), 4) as total from customer group by 1")
+@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as tips, round(sum(floor((c_acctbal + 1000) * 3)) / 100000, 4) as total from customer group by 1")
 def scan_newick(spark, d) -> DataFrame:
     n = kernels.nodes(br.gene_trees(spark, d)).where("is_tip")
     return n.groupBy("tree_id").agg(F.count("*").alias("tips"), F.round(F.sum("length"), 4).alias("total"))

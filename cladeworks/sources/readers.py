@@ -31,7 +31,7 @@ def last_of_each(records: DataFrame) -> DataFrame:
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
     """source_file, seq_name, sequence, qual, quals of whole files' four-line records (files are the unit, so keep them moderate)."""
-    rows = spark.read.option("wholetext", True).text(path).select(file_name().alias("source_file"), F.split(F.regexp_replace("value", "\r", ""), "\n").alias("_l"))
+    rows = spark.read.text(path, wholetext=True).select(file_name().alias("source_file"), F.split(F.regexp_replace("value", "\r", ""), "\n").alias("_l"))
     each = rows.select("source_file", "_l", F.explode(F.sequence(F.lit(0), F.floor((F.size("_l") - 4) / 4).cast("int"))).alias("_i")).where(F.size("_l") >= 4)
     line = lambda k: F.get("_l", F.col("_i") * 4 + k)
     qual = line(3)
@@ -40,8 +40,8 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
 
 def hits(spark: SparkSession, path: str, schema: str = HIT) -> DataFrame:
     """Tab-separated hits; lines with fewer fields or unreadable numbers are left out."""
-    read = spark.read.option("sep", "\t").option("mode", "DROPMALFORMED").schema(schema).csv(path)
-    return read.where(F.col("bits").isNotNull() & F.col("target").isNotNull())
+    read = spark.read.option("sep", "\t").option("mode", "PERMISSIVE").schema(schema).csv(path)
+    return read.dropna(subset=[c for c in read.columns if c != "qframe"])
 
 
 def pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +56,7 @@ def clusters(spark: SparkSession, path: str) -> DataFrame:
 
 def newick(spark: SparkSession, path: str) -> DataFrame:
     """tree_id (file name before its first dot), newick: the first line of each file."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(F.split_part(file_name(), F.lit("."), F.lit(1)).alias("tree_id"), F.regexp_extract("value", r"^\s*([^\r\n]*)", 1).alias("newick"))
 
 
@@ -88,5 +88,5 @@ def report_fields(rows: DataFrame) -> DataFrame:
 
 
 def tree_reports(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return report_fields(rows.select(F.split_part(file_name(), F.lit("."), F.lit(1)).alias("gene_id"), "value"))
