@@ -272,8 +272,8 @@ def repeated(names, documents, tags, starts, windows, bytes_) -> tuple[np.ndarra
     return documents[k], tags[k], starts[k] + step[a], starts[k] + step[b - 1] + LENGTH
 
 
-def intervals(docs: DataFrame, shards: int) -> DataFrame:
-    """doc_id, tag, a, b: byte intervals that go, of columns doc_id, tag, text; they may overlap."""
+def intervals(rows: DataFrame, shards: int) -> DataFrame:
+    """doc_id, part: byte intervals that go, of columns doc_id, tag, text; they may overlap. ``part`` is start, tag and length in one number."""
     import pyarrow as pa
 
     def name(batches):
@@ -284,32 +284,35 @@ def intervals(docs: DataFrame, shards: int) -> DataFrame:
                 to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
                 text, start, windows, names = spans_of(*text_bytes(b.column(2).slice(at, to - at)))
                 take = pa.array(text + at)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.array((names >> np.uint64(8)).view(np.int64)), pa.array(start, pa.int32()), pa.array(windows | b.column(1).take(take).to_numpy() << 8, pa.int32())], names=["doc_id", "name", "start", "more"])
+                tags = b.column(1).take(take).to_numpy().astype(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.array((names >> np.uint64(16)).view(np.int64)), pa.array(start << 24 | tags << 8 | windows)], names=["doc_id", "name", "span"])
                 at = to
 
-    rows = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("doc_id", "tag", "text")
     by = Window.partitionBy("name")
-    spans = rows.mapInArrow(name, "doc_id long, name long, start int, more int").repartition("name").withColumns({"_x": F.min("doc_id").over(by), "_y": F.max("doc_id").over(by)})
-    spans = spans.where(F.col("_x") != F.col("_y")).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("more").alias("mores"), F.collect_list("name").alias("names"))
+    spans = rows.mapInArrow(name, "doc_id long, name long, span long").repartition("name").withColumns({"_x": F.min("doc_id").over(by), "_y": F.max("doc_id").over(by)})
+    short = F.col("name").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    spans = spans.where(F.col("_x") != F.col("_y")).select("doc_id", "span", short.alias("name")).repartition("doc_id")
+    spans = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"), F.collect_list("name").alias("names"))
 
     def send(batches):
         for b in batches:
             ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
-            counts = np.diff(b.column(3).offsets.to_numpy())
-            text = np.repeat(np.arange(b.num_rows), counts)
-            start, more, names = (b.column(k).flatten().to_numpy().astype(np.int64) for k in (3, 4, 5))
+            text = np.repeat(np.arange(b.num_rows), np.diff(b.column(3).offsets.to_numpy()))
+            span, names = (b.column(k).flatten().to_numpy().astype(np.int64) for k in (3, 4))
+            start, windows = span >> 24, span & 255
             data, offsets = text_bytes(b.column(2))
-            windows = more & 255
-            good = (more >> 8 == tags[text]) & (start + windows + LENGTH - 1 <= np.diff(offsets)[text])
-            sent = list(batch_segments(ids, tags, data, offsets, text[good], start[good], windows[good], names[good].view(np.uint64), shards))
+            good = (span >> 8 & 0xFFFF == tags[text]) & (start + windows + LENGTH - 1 <= np.diff(offsets)[text])
+            sent = list(batch_segments(ids, tags, data, offsets, text[good], start[good], windows[good], names[good], shards))
             yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in sent], pa.int32()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=["shard", "sent", "known"])
 
-    joined = rows.join(spans, "doc_id").select("doc_id", "tag", "text", "starts", "mores", "names")
+    joined = rows.join(spans, "doc_id").select("doc_id", "tag", "text", "spans", "names")
     sent = joined.mapInArrow(send, "shard int, sent binary, known binary").repartition(shards, "shard")
 
     def judge(batches):
-        names = ["doc_id", "tag", "a", "b"]
-        out = lambda d, t, a, b: pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32())], names=names)
+        def out(d, t, a, b):
+            a = a.astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a << 32 | t.astype(np.int64) << 16 | (b - a))], names=["doc_id", "part"])
+
         shards: dict[int, list] = {}
         for b in batches:
             for shard, sent, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -323,25 +326,28 @@ def intervals(docs: DataFrame, shards: int) -> DataFrame:
             for at in range(0, len(found[0]), 100_000):
                 yield out(*(x[at : at + 100_000] for x in found))
 
-    return sent.mapInArrow(judge, "doc_id long, tag int, a int, b int")
+    return sent.mapInArrow(judge, "doc_id long, part long")
 
 
 def _merged(rows: DataFrame) -> DataFrame:
-    """doc_id, tag, a, b with overlapping intervals of neighbouring rows merged (rows in order of doc_id, tag, a)."""
+    """doc_id, tag, a, b with overlapping intervals of neighbouring rows merged (rows doc_id, part in order)."""
     import pyarrow as pa
 
     def merge(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            d, t, x, y = (c.to_numpy() for c in b.columns)
+            d, part = (c.to_numpy() for c in b.columns)
+            t, x = part >> 16 & 0xFFFF, part >> 32
+            y, order = x + (part & 0xFFFF), np.lexsort((x, t, d))
+            d, t, x, y = d[order], t[order], x[order], y[order]
             new = np.ones(len(d), bool)
             new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
             far = np.int64(1) << 32
             reach = np.maximum.accumulate(y + (np.cumsum(new) - 1) * far) - (np.cumsum(new) - 1) * far
             new[1:] |= x[1:] > reach[:-1]
             k = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays([pa.array(d[k]), pa.array(t[k]), pa.array(x[k]), pa.array(reach[np.append(k[1:], len(d)) - 1], pa.int32())], names=["doc_id", "tag", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[k]), pa.array(t[k], pa.int32()), pa.array(x[k], pa.int32()), pa.array(reach[np.append(k[1:], len(d)) - 1], pa.int32())], names=["doc_id", "tag", "a", "b"])
 
     return rows.mapInArrow(merge, "doc_id long, tag int, a int, b int")
 
@@ -353,9 +359,15 @@ def cut(docs: DataFrame, shards: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
-    runs = _merged(intervals(docs, shards).repartition("doc_id").sortWithinPartitions("doc_id", "tag", "a"))
+    rows = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
+    # a copy of a whole smaller document goes as a whole and adds no string to what others are held against
+    digests = written(rows.select("doc_id", "tag", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("digest")), "digests")
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = written(digests.join(first, "digest").where(F.col("doc_id") > F.col("first")).select("doc_id", "tag", "n").distinct(), "copies")
+    rest = rows.join(small(copies.select("doc_id", "tag")), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "text")
+    runs = _merged(intervals(rest, shards).repartition("doc_id").sortWithinPartitions("doc_id", "part"))
     runs = runs.groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    runs = written(runs, "runs")
+    runs = written(runs.union(copies.select("doc_id", "tag", F.array(F.lit(0)), F.array("n"))), "runs")
     bounded = runs.agg(F.coalesce(F.sum(F.size("a")), F.lit(0))).first()[0] <= 4_000_000
     rows = docs.join(small(runs) if bounded else runs, ["doc_id", "tag"], "left").select("doc_id", "text", "a", "b")
 
