@@ -79,3 +79,22 @@ def success_rates(steps: DataFrame) -> DataFrame:
 def duration_seconds(text: Column) -> Column:
     """Seconds of a text like ``12.34 s``; null if it isn't one."""
     return F.regexp_extract(text, r"^\s*([0-9]+(?:\.[0-9]+)?)\s*s\s*$", 1).try_cast("double")
+
+
+def totals_by_stage(steps: DataFrame) -> DataFrame:
+    """Per (stage) of (stage, iteration, n_in, n_out, seconds): runs, files in and out, seconds, rate."""
+    n_in, n_out = F.sum("n_in"), F.sum("n_out")
+    return steps.groupBy("stage").agg(F.count_distinct("iteration").alias("iterations"), n_in.alias("n_in"), n_out.alias("n_out"), F.round(F.sum("seconds"), 2).alias("seconds"), F.round(F.when(n_in > 0, n_out * 100.0 / n_in).otherwise(0.0), 2).alias("success_pct"))
+
+
+def pipeline_row(steps: DataFrame) -> DataFrame:
+    """One row over all stages: stages, iterations, total seconds, slowest stage."""
+    by = steps.groupBy("stage").agg(F.sum("seconds").alias("s"))
+    slowest = by.agg(F.max_by("stage", F.struct("s", "stage")).alias("slowest"))
+    return steps.agg(F.count_distinct("stage").alias("stages"), F.count_distinct("iteration").alias("iterations"), F.round(F.sum("seconds"), 2).alias("total_seconds")).crossJoin(slowest)
+
+
+def long_metrics(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """Wide metrics as rows: key, metric, value."""
+    pairs = F.array(*(F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names))
+    return rows.select(key, F.explode(pairs).alias("_m")).select(key, "_m.metric", "_m.value")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alignments as al
-from ..operators import graphs, hits, kernels, names, summaries
+from ..functions import scalars
+from ..operators import graphs, hits, joins, kernels, names, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, HITS, SEQUENCES, table
 
@@ -354,3 +355,138 @@ def hc_run(spark, d) -> DataFrame:
 def all_by_all(spark, d) -> DataFrame:
     s = br.families(spark, d).select("seq_id", "sequence")
     return kernels.aligned_hits(s, kernels.kmer_hits(s, 10, 8, 5))
+
+
+def _parts(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    return p.select(F.concat("p_brand", F.lit("@"), F.col("p_partkey").cast("string")).alias("seq_id"), F.col("p_name").alias("sequence"))
+
+
+PARTS = "q as (select p_brand || '@' || cast(p_partkey as varchar) as seq_id, p_name as sequence from part)"
+
+
+@query(f"with {PARTS} select * from q where seq_id in (select p_brand || '@' || cast(p_partkey as varchar) from part join lineitem on l_partkey = p_partkey where l_quantity > 45)")
+def busco_semi(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey")
+    ids = table(spark, d, "part").join(li, F.col("p_partkey") == F.col("l_partkey")).select(F.concat("p_brand", F.lit("@"), F.col("p_partkey").cast("string")).alias("seq_id"))
+    return joins.filter_ids(_parts(spark, d), ids)
+
+
+@query(f"with {PARTS} select cast(l_suppkey as varchar) as tree_id, replace(seq_id, '@', '_') as label, sequence from lineitem join part on l_partkey = p_partkey join q on seq_id = p_brand || '@' || cast(p_partkey as varchar)")
+def tips_to_sequence(spark, d) -> DataFrame:
+    tips = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").cast("string").alias("tree_id"), F.concat_ws("_", "p_brand", F.col("p_partkey").cast("string")).alias("label"))
+    return joins.tips_to_sequence(tips, _parts(spark, d))
+
+
+@query(f"with {PARTS} select replace(q.seq_id, '@', '_') as label, t.tree_id, sequence from q join (select p_brand || '@' || cast(p_partkey as varchar) as seq_id, max(cast(l_suppkey as varchar)) as tree_id from lineitem join part on l_partkey = p_partkey group by 1) t on t.seq_id = q.seq_id")
+def ortholog_to_sequence(spark, d) -> DataFrame:
+    tips = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").cast("string").alias("tree_id"), F.concat_ws("_", "p_brand", F.col("p_partkey").cast("string")).alias("label"))
+    return joins.ortholog_to_sequence(tips, _parts(spark, d))
+
+
+@query("select 'S' || cast(s_suppkey as varchar) as seq_id, n_name as sequence from supplier left join nation on s_nationkey = n_nationkey and n_regionkey < 3")
+def genes_to_sequence(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("_s"), F.col("s_nationkey").cast("string").alias("seq_id"))
+    n = table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").cast("string").alias("seq_id"), F.col("n_name").alias("sequence"))
+    return joins.genes_to_sequence(s, n).select(F.col("_s").alias("seq_id"), "sequence")
+
+
+NAMES = "m as (select 'T' || cast(c_custkey % 9 as varchar) || '@' || cast(c_custkey as varchar) as new_name, c_name as original_name, 'f' || cast(c_nationkey as varchar) || '.fa' as source_file from customer)"
+
+
+def _name_map(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    taxon = F.concat(F.lit("T"), (F.col("c_custkey") % 9).cast("string"))
+    return c.select(F.concat(taxon, F.lit("@"), F.col("c_custkey").cast("string")).alias("new_name"), F.col("c_name").alias("original_name"), F.concat(F.lit("f"), F.col("c_nationkey").cast("string"), F.lit(".fa")).alias("source_file"), taxon.alias("taxon"))
+
+
+def _leaves(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("tree_id"), F.concat(F.lit("T"), (F.col("o_custkey") % 9).cast("string"), F.lit("_"), F.col("o_custkey").cast("string")).alias("label"))
+
+
+LEAVES = "k as (select o_orderkey as tree_id, 'T' || cast(o_custkey % 9 as varchar) || '_' || cast(o_custkey as varchar) as label from orders)"
+
+
+@query(f"with {NAMES}, {LEAVES} select tree_id, label, coalesce('sp' || replace(source_file, '.fa', ''), label) as species from k left join (select * from m where source_file <> 'f3.fa') x on replace(new_name, '@', '_') = label")
+def leaf_to_species(spark, d) -> DataFrame:
+    m = _name_map(spark, d)
+    species = m.select("source_file").distinct().where("source_file <> 'f3.fa'").select("source_file", F.concat(F.lit("sp"), F.split_part("source_file", F.lit("."), F.lit(1))).alias("species"))
+    return joins.leaf_to_species(_leaves(spark, d), m, species)
+
+
+@query(f"with {NAMES}, {LEAVES} select tree_id, coalesce(original_name, label) as label from k left join m on replace(new_name, '@', '_') = label")
+def leaf_to_original(spark, d) -> DataFrame:
+    return joins.leaf_to_original(_leaves(spark, d), _name_map(spark, d))
+
+
+@query(f"with {NAMES} select taxon, coalesce(stem, taxon) as stem from (select distinct 'T' || cast(c_custkey % 11 as varchar) as taxon from customer) t left join (select split_part(new_name, '@', 1) as taxon, min(replace(source_file, '.fa', '')) as stem from m group by 1) s using (taxon)")
+def supertips_to_stem(spark, d) -> DataFrame:
+    tips = table(spark, d, "customer").select(F.concat(F.lit("T"), (F.col("c_custkey") % 11).cast("string")).alias("taxon")).distinct()
+    return joins.supertips_to_stem(tips, _name_map(spark, d))
+
+
+@query("select n_name as node, n_name || '.' || r_name || '.fa' as source_file from nation join region on n_regionkey = r_regionkey")
+def species_to_files(spark, d) -> DataFrame:
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    files = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat("n_name", F.lit("."), "r_name", F.lit(".fa")).alias("source_file"))
+    return joins.species_to_files(n.select(F.col("n_name").alias("node")), files)
+
+
+@query("with p as (select 'c' || cast(s_nationkey as varchar) as base, s_name as file from supplier) select base, file, case when count(*) over (partition by base) = 1 then base || '_next' else base || '_next_' || cast(row_number() over (partition by base order by file) as varchar) end as name from p")
+def subtree_naming(spark, d) -> DataFrame:
+    return joins.subtree_names(table(spark, d, "supplier").select(F.concat(F.lit("c"), F.col("s_nationkey").cast("string")).alias("base"), F.col("s_name").alias("file")))
+
+
+@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as leaves from customer group by 1 having count(*) >= 4")
+def min_leaves_filter(spark, d) -> DataFrame:
+    return joins.least_leaves(kernels.nodes(br.gene_trees(spark, d)), 4)
+
+
+@query(f"with {SEQUENCES} select split_part(seq_name, '@', 1) as taxon, cast(count(*) as bigint) as n, cast(sum(length(sequence)) as bigint) as letters from s group by 1")
+def fasta_count(spark, d) -> DataFrame:
+    return br.sequences(spark, d).groupBy(hits.taxon_of(F.col("seq_name")).alias("taxon")).agg(F.count("*").alias("n"), F.sum(F.length("sequence")).alias("letters"))
+
+
+@query(f"with {SEQUENCES} select seq_name, reverse(translate(sequence, 'ACGT', 'TGCA')) as sequence from s")
+def reverse_complement(spark, d) -> DataFrame:
+    return br.sequences(spark, d).select("seq_name", scalars.reverse_complement(F.col("sequence")).alias("sequence"))
+
+
+def _stages(spark, d) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.groupBy(F.col("event_type").alias("stage"), (F.col("user_id") % 5).alias("iteration")).agg(F.count("*").alias("n_in"), F.count_if(F.col("value") > 20).alias("n_out"), F.sum(F.floor("value")).alias("seconds"))
+
+
+STAGES = "g as (select event_type as stage, user_id % 5 as iteration, count(*) as n_in, count(*) filter (value > 20) as n_out, sum(floor(value)) as seconds from events group by 1, 2)"
+
+
+@query(f"with {STAGES} select stage, cast(count(distinct iteration) as bigint) as iterations, cast(sum(n_in) as bigint) as n_in, cast(sum(n_out) as bigint) as n_out, cast(sum(seconds) as bigint) as seconds, round(case when sum(n_in) > 0 then sum(n_out) * 100e0 / sum(n_in) else 0e0 end, 2) as success_pct from g group by 1")
+def rpt_tree_processing(spark, d) -> DataFrame:
+    return summaries.totals_by_stage(_stages(spark, d))
+
+
+@query(f"with {STAGES} select cast(count(distinct stage) as bigint) as stages, cast(count(distinct iteration) as bigint) as iterations, cast(sum(seconds) as bigint) as total_seconds, (select stage from (select stage, sum(seconds) as s from g group by 1) order by s desc, stage desc limit 1) as slowest from g")
+def rpt_pipeline_summary(spark, d) -> DataFrame:
+    return summaries.pipeline_row(_stages(spark, d))
+
+
+@query(f"with {STAGES}, t as (select stage, sum(n_in) as n_in, sum(n_out) as n_out from g group by 1) select stage, 'n_in' as metric, cast(n_in as double) as value from t union all select stage, 'n_out', cast(n_out as double) from t")
+def rpt_clustering_summary(spark, d) -> DataFrame:
+    return summaries.long_metrics(_stages(spark, d).groupBy("stage").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")), "stage", ["n_in", "n_out"])
+
+
+@query()
+def species_tree(spark, d) -> DataFrame:
+    text = kernels.species_tree(kernels.distance_trees(kernels.align(br.families(spark, d))))
+    return spark.createDataFrame([("species", text)], "tree_id string, newick string")
+
+
+@query()
+def bes_summarize(spark, d) -> DataFrame:
+    return summaries.branch_stats(bes_collect(spark, d))
+
+
+@query()
+def hc_vsearch(spark, d) -> DataFrame:
+    return kernels.centroids(br.families(spark, d).select(F.col("aln_id").alias("node"), "seq_id", "sequence"), 0.9)
