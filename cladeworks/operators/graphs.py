@@ -69,15 +69,32 @@ def markov_clusters(matrix: np.ndarray, inflation: float = 1.4, rounds: int = 10
     return list(groups.values())
 
 
+def markov_join(edges: DataFrame, inflation: float = 1.4, rounds: int = 60, prune: float = 1e-4) -> DataFrame:
+    """cluster, seq_id by Markov clustering with the matrix as a table: expansion is a join and a sum, so its size bounds no task."""
+    both = edges.select(F.col("src").alias("r"), F.col("dst").alias("c"), "weight").union(edges.select("dst", "src", "weight")).groupBy("r", "c").agg(F.max("weight").alias("w"))
+    loops = both.groupBy("c").agg(F.max("w").alias("w")).select(F.col("c").alias("r"), "c", "w")
+    shares = lambda m: m.select("r", "c", (F.col("w") / F.sum("w").over(Window.partitionBy("c"))).alias("w"))
+    m = cut_lineage(shares(both.where(F.col("r") != F.col("c")).union(loops)), "flow")
+    for _ in range(rounds):
+        a, b = m.alias("a"), m.alias("b")
+        square = a.join(b, F.col("a.c") == F.col("b.r")).groupBy(F.col("a.r").alias("r"), F.col("b.c").alias("c")).agg(F.pow(F.sum(F.col("a.w") * F.col("b.w")), F.lit(inflation)).alias("w"))
+        m = cut_lineage(shares(shares(square).where(F.col("w") >= prune)), "flow")
+        chaos = m.groupBy("c").agg((F.max("w") - F.sum(F.col("w") * F.col("w"))).alias("x")).agg(F.max("x")).first()[0]
+        if chaos is None or chaos < 1e-4:
+            break
+    parts = components(m.select(F.col("r").alias("src"), F.col("c").alias("dst")))
+    return parts.select(F.col("component").alias("cluster"), F.col("node").alias("seq_id"))
+
+
 def mcl_cluster(edges: DataFrame, inflation: float = 1.4, largest: int = 5000) -> DataFrame:
     """cluster (its smallest member), seq_id. Markov clustering runs inside connected components, one component a task's
-    group; a component of more than ``largest`` nodes, too large for a dense matrix, is one cluster."""
+    group; components of more than ``largest`` nodes, too large for a dense matrix, go by :func:`markov_join`."""
     import pandas as pd
 
     parts = components(edges)
     sizes = parts.groupBy("component").agg(F.count("*").alias("size"))
     parts = cut_lineage(parts.join(sizes, "component"), "parts")
-    inner = edges.join(parts.where(F.col("size") <= largest), edges["src"] == parts["node"]).select("component", "src", "dst", "weight")
+    placed = edges.join(parts, edges["src"] == parts["node"]).select("component", "size", "src", "dst", "weight")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         names = sorted(set(rows["src"]) | set(rows["dst"]))
@@ -88,8 +105,9 @@ def mcl_cluster(edges: DataFrame, inflation: float = 1.4, largest: int = 5000) -
             m[i, j] = m[j, i] = max(m[i, j], w)
         return pd.DataFrame([(names[min(g)], names[x]) for g in markov_clusters(m, inflation) for x in g], columns=["cluster", "seq_id"])
 
-    whole = parts.where(F.col("size") > largest).select(F.col("component").alias("cluster"), F.col("node").alias("seq_id"))
-    return inner.groupBy("component").applyInPandas(run, "cluster string, seq_id string").union(whole)
+    inner = placed.where(F.col("size") <= largest).drop("size").groupBy("component").applyInPandas(run, "cluster string, seq_id string")
+    outer = placed.where(F.col("size") > largest)
+    return inner if outer.isEmpty() else inner.union(markov_join(outer.select("src", "dst", "weight"), inflation))
 
 
 def cluster_taxa(clusters: DataFrame, taxon) -> DataFrame:

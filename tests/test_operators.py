@@ -68,8 +68,10 @@ def test_chains_of_representatives(spark):
 
 def test_markov_clusters(spark):
     edges = [("a", "b", 9.0), ("b", "c", 9.0), ("a", "c", 9.0), ("c", "d", 0.1), ("d", "e", 9.0), ("e", "f", 9.0), ("d", "f", 9.0)]
-    found = graphs.mcl_cluster(spark.createDataFrame(edges, "src string, dst string, weight double"), inflation=2.0)
-    assert {r.seq_id: r.cluster for r in found.collect()} == {**dict.fromkeys("abc", "a"), **dict.fromkeys("def", "d")}
+    df = spark.createDataFrame(edges, "src string, dst string, weight double")
+    for largest in (5000, 2):  # dense, and as a table
+        found = graphs.mcl_cluster(df, inflation=2.0, largest=largest)
+        assert {r.seq_id: r.cluster for r in found.collect()} == {**dict.fromkeys("abc", "a"), **dict.fromkeys("def", "d")}
 
 
 def test_fasta_round_trip(spark, tmp_path):
@@ -139,5 +141,13 @@ def test_query_against_sql(spark, name):
     assert sorted(map(key, found)) == sorted(map(key, expected))
 
 
+def test_library_stands_without_llm():
+    from pathlib import Path
+
+    root = Path(__spark_entry__.__file__).parent
+    rest = [p for folder in ("cladeworks", "tests") for p in (root / folder).rglob("*.py") if "llm" not in p.relative_to(root).parts]
+    assert rest and not [p for p in rest if "cladeworks.llm" in p.read_text() and p.name != Path(__file__).name]
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
