@@ -7,12 +7,13 @@
    class emits one signature per group (the sum of the mixed hashes in it), at the size
    level of its own and, close to the next level's lower bound, at that one too. Only
    signatures of at least two classes go on. This loses no pair.
-3. Every member of a signature is first checked against the signature's smallest
-   member. The links found are closed to components, and only members that are still
-   in different components of one signature are compared further: their count vectors
+3. Every member of a signature is first checked against one of them, that which is in
+   most signatures. The links found are closed to components, and only members that are
+   still in different components of one signature are compared further: their count vectors
    are packed into an R-tree, whose node corners and then points bound the overlap of
    two sets by the sum of coordinate minima, and pairs that the bound leaves are
-   checked on the sets themselves.
+   checked on the sets themselves. For that, the sets go once each to the component of
+   candidate pairs they are in (a component of over LARGE bytes by pairs instead).
 
 So a large group of near copies costs one check a member and signature, not all pairs;
 members are compared in blocks of CHUNK, each pair of blocks in a task of its own.
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 from .common import hashes_of, mix64, small, table, text_bytes, words_in, written
 from .components import components
 
-DIMS, CHUNK, LEAF, FAN = 128, 2048, 16, 8
+DIMS, CHUNK, LEAF, FAN, LARGE = 128, 2048, 16, 8, 64 << 20
 #: Size levels grow by this factor.
 LEVEL = 1.5
 
@@ -197,24 +198,33 @@ def signatures(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
     return _batches(docs.select(F.lit(0).alias("none"), "text"), "sig long, key long", make)
 
 
-def sets_of(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, elements (sorted 64-bit hashes), counts (the point) of columns doc_id, text."""
+def points_of(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, n, counts (the point) of columns doc_id, text."""
     import pyarrow as pa
 
     def make(ids, data, offsets):
         sets = shingle_sets(data, offsets, k)
-        return [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([counts_of(x).astype("<u4").tobytes() for x in sets], pa.binary())]
+        return [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array([counts_of(x).astype("<u4").tobytes() for x in sets], pa.binary())]
+
+    return _batches(docs.select("doc_id", "text"), "doc_id long, n long, counts binary", make)
+
+
+def sets_of(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, elements (sorted 64-bit hashes) of columns doc_id, text."""
+    import pyarrow as pa
+
+    def make(ids, data, offsets):
+        return [ids, pa.array([x.tobytes() for x in shingle_sets(data, offsets, k)], pa.binary())]
 
-    return _batches(docs.select("doc_id", "text"), "doc_id long, n long, elements binary, counts binary", make)
+    return _batches(docs.select("doc_id", "text"), "doc_id long, elements binary", make)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, a: int, b: int) -> DataFrame:
-    """The pairs (u, v) whose sets link: the counts' bound first, then the elements."""
+def _bounded(pairs: DataFrame, points: DataFrame, a: int, b: int) -> DataFrame:
+    """The pairs (u, v) whose points leave a link possible."""
     import pyarrow as pa
 
-    point = sets.select("doc_id", "n", "counts")
-    left = pairs.join(point.select(F.col("doc_id").alias("u"), F.col("n").alias("un"), F.col("counts").alias("uc")), "u")
-    both = left.join(point.select(F.col("doc_id").alias("v"), F.col("n").alias("vn"), F.col("counts").alias("vc")), "v")
+    left = pairs.join(points.select(F.col("doc_id").alias("u"), F.col("n").alias("un"), F.col("counts").alias("uc")), "u")
+    both = left.join(points.select(F.col("doc_id").alias("v"), F.col("n").alias("vn"), F.col("counts").alias("vc")), "v")
     both = both.where(F.least("un", "vn") * b >= F.greatest("un", "vn") * a)
 
     def bound(batches):
@@ -225,20 +235,54 @@ def _linked(pairs: DataFrame, sets: DataFrame, a: int, b: int) -> DataFrame:
                 keep = np.minimum(p, q).sum(1).astype(np.int64) * (a + b) >= a * n
                 yield pa.RecordBatch.from_arrays([x.column(c).filter(pa.array(keep)) for c in ("u", "v")], names=["u", "v"])
 
-    near = both.select("u", "v", "un", "vn", "uc", "vc").mapInArrow(bound, "u long, v long")
-    elements = sets.select("doc_id", "elements")
-    near = near.join(elements.select(F.col("doc_id").alias("u"), F.col("elements").alias("ue")), "u").join(elements.select(F.col("doc_id").alias("v"), F.col("elements").alias("ve")), "v")
+    return both.select("u", "v", "un", "vn", "uc", "vc").mapInArrow(bound, "u long, v long")
+
+
+def _link(p: np.ndarray, q: np.ndarray, a: int, b: int) -> bool:
+    both = np.sort(np.concatenate([p, q]), kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return same * b >= a * (len(p) + len(q) - same)
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
+    """The pairs (u, v; a written table) whose sets link."""
+    import pyarrow as pa
+
+    parts = written(components(pairs), "pair-parts")
+    wanted = small(parts.select(F.col("node").alias("doc_id")))
+    sets = written(sets_of(docs.join(wanted, "doc_id", "left_semi"), k), "pair-sets")
+    placed = sets.join(parts, sets["doc_id"] == parts["node"]).select("component", "doc_id", "elements")
+    sizes = parts.join(sets.select("doc_id", F.octet_length("elements").alias("_b")), F.col("node") == F.col("doc_id")).groupBy("component").agg(F.sum("_b").alias("_b"))
+    large = written(sizes.where(F.col("_b") > LARGE).select("component"), "pair-large")
+    of_pairs = pairs.join(parts, pairs["u"] == parts["node"]).select("component", "u", "v")
+    rows = placed.select("component", F.lit(0).alias("kind"), F.col("doc_id").alias("u"), F.lit(0).cast("long").alias("v"), "elements").union(of_pairs.select("component", F.lit(1), "u", "v", F.lit(None).cast("binary")))
+    near = rows.join(small(large), "component", "left_anti").repartition("component").sortWithinPartitions("component", "kind", "u")
 
     def verify(batches):
+        here, held = None, {}
         for x in batches:
             keep = []
-            for p, q in zip(x.column("ue").to_pylist(), x.column("ve").to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                same = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
-                keep.append(same * b >= a * (len(p) + len(q) - same))
+            for component, kind, u, v, elements in zip(*(x.column(c).to_pylist() for c in ("component", "kind", "u", "v", "elements")), strict=True):
+                if component != here:
+                    here, held = component, {}
+                if kind == 0:
+                    held[u] = np.frombuffer(elements, np.uint64)
+                elif _link(held[u], held[v], a, b):
+                    keep.append((u, v))
+            yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in keep], pa.int64()) for c in (0, 1)], names=["u", "v"])
+
+    found = near.select("component", "kind", "u", "v", "elements").mapInArrow(verify, "u long, v long")
+    if large.isEmpty():
+        return found
+    side = lambda n: placed.select(F.col("doc_id").alias(n), F.col("elements").alias(f"{n}e"))
+    far = of_pairs.join(small(large), "component", "left_semi").join(side("u"), "u").join(side("v"), "v")
+
+    def verify_pairs(batches):
+        for x in batches:
+            keep = [_link(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), a, b) for p, q in zip(x.column("ue").to_pylist(), x.column("ve").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([x.column(c).filter(pa.array(keep, pa.bool_())) for c in ("u", "v")], names=["u", "v"])
 
-    return near.select("u", "v", "ue", "ve").mapInArrow(verify, "u long, v long")
+    return found.union(far.select("u", "v", "ue", "ve").mapInArrow(verify_pairs, "u long, v long"))
 
 
 def _across(members: DataFrame, a: int, b: int) -> DataFrame:
@@ -297,17 +341,19 @@ def classes(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
     keys = written(shared.select(block, "key").distinct(), "shingle-blocks")
     members = written(keys.join(reps, "key").select("block", F.col("rep").alias("doc_id")), "shingle-members")
     wanted = small(written(members.select("doc_id").distinct(), "shingle-wanted"))
-    sets = written(sets_of(docs.join(wanted, "doc_id", "left_semi"), k), "shingle-sets")
-    hub = members.groupBy("block").agg(F.min("doc_id").alias("v"))
-    near = written(members.join(hub, "block").where(F.col("doc_id") != F.col("v")).select(F.col("doc_id").alias("u"), "v").distinct(), "shingle-near")
-    links = written(_linked(near, sets, a, b), "shingle-links")
+    points = written(points_of(docs.join(wanted, "doc_id", "left_semi"), k), "shingle-points")
+    often = members.join(members.groupBy("doc_id").agg(F.count("*").alias("_d")), "doc_id")
+    hub = often.groupBy("block").agg(F.max_by("doc_id", F.struct("_d", -F.col("doc_id"))).alias("hub"))
+    met = members.join(hub, "block").where(F.col("doc_id") != F.col("hub"))
+    near = written(met.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct(), "shingle-near")
+    links = written(_linked(written(_bounded(near, points, a, b), "shingle-bounded"), docs, k, a, b), "shingle-links")
     parts = written(components(links), "shingle-parts")
     placed = members.join(parts, members["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     spread = placed.groupBy("block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("_n"))
     apart = spread.where((F.col("_x") != F.col("_y")) & (F.col("_n") > 2)).select("block")
-    rest = written(placed.join(apart, "block").join(sets.select("doc_id", "n", "counts"), "doc_id").select("block", "doc_id", "component", "n", "counts"), "shingle-apart")
+    rest = written(placed.join(apart, "block").join(points, "doc_id").select("block", "doc_id", "component", "n", "counts"), "shingle-apart")
     more = written(_across(rest, a, b).join(near, ["u", "v"], "left_anti"), "shingle-near")
-    links = links.union(written(_linked(more, sets, a, b), "shingle-links"))
+    links = links.union(written(_linked(more, docs, k, a, b), "shingle-links"))
     parts = written(components(links), "shingle-parts")
     classed = facts.join(reps, ["key", "key2", "n"], "left")
     # a class goes by its smallest identifier, so a component of classes has its documents' smallest
