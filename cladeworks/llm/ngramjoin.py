@@ -8,12 +8,13 @@
    level of its own and, close to the next level's lower bound, at that one too. Only
    signatures of at least two classes go on. This loses no pair.
 3. Every member of a signature is first checked against one of them, that which is in
-   most signatures. The links found are closed to components, and only members that are
+   most signatures. The links found are closed to components, and only the others that are
    still in different components of one signature are compared further: their count vectors
    are packed into an R-tree, whose node corners and then points bound the overlap of
-   two sets by the sum of coordinate minima, and pairs that the bound leaves are
-   checked on the sets themselves. For that, the sets go once each to the component of
-   candidate pairs they are in (a component of over LARGE bytes by pairs instead).
+   two sets by the sum of coordinate minima (signatures of few members, each a tree of one
+   leaf, many at a time), and pairs that the bound leaves are checked on the sets
+   themselves. For that, the sets go once each to the component of candidate pairs they are
+   in (a component of over LARGE bytes by pairs instead).
 
 So a large group of near copies costs one check a member and signature, not all pairs;
 members are compared in blocks of CHUNK, each pair of blocks in a task of its own.
@@ -73,7 +74,7 @@ class Signatures:
         self.bounds = [1]
         while self.bounds[-1] < 1 << 40:
             self.bounds.append(max(self.bounds[-1] + 1, int(self.bounds[-1] * LEVEL)))
-        self.bounds = np.array(self.bounds)
+        self.bounds, self.known = np.array(self.bounds), {}
 
     def differing(self, larger: int) -> int:
         """Most elements in which two linked sets differ, the larger one of this size (and so the smaller one no larger)."""
@@ -99,7 +100,9 @@ class Signatures:
         levels = [level, level + 1] if n * self.b >= self.bounds[level + 1] * self.a else [level]
         mixed, out = mix64(elements ^ np.uint64(0xA24BAED4963EE407)), []
         for x in levels:
-            groups, spare = self.groups(x)
+            if x not in self.known:
+                self.known[x] = self.groups(x)
+            groups, spare = self.known[x]
             if groups > 1:
                 group = ((elements >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
                 order = np.argsort(group, kind="stable")
@@ -184,8 +187,10 @@ def signatures(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
     """sig, key: the signatures of each distinct set of a batch."""
     import pyarrow as pa
 
+    maker = Signatures(a, b)
+
     def make(_, data, offsets):
-        maker, sigs, keys, seen = Signatures(a, b), [], [], set()
+        sigs, keys, seen = [], [], set()
         for x in shingle_sets(data, offsets, k):
             key = int(x.sum(dtype=np.uint64))
             if len(x) and key not in seen:
@@ -286,18 +291,20 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, a: int, b: int) -> DataFr
 
 
 def _across(members: DataFrame, a: int, b: int) -> DataFrame:
-    """u, v of one block and different components whose bound leaves a link possible. ``members``: block, doc_id, component, n, counts."""
+    """u, v of one block and different components whose bound leaves a link possible. ``members``: block, size (rows of the block), doc_id, component, n, counts."""
     import pandas as pd
 
-    size = Window.partitionBy("block")
-    chunks = F.ceil(F.count("*").over(size) / CHUNK)
-    rows = members.withColumn("_c", chunks).withColumn("_own", F.pmod(F.xxhash64("doc_id"), F.col("_c")))
+    rows = members.withColumn("_c", F.ceil(F.col("size") / CHUNK)).withColumn("_own", F.pmod(F.xxhash64("doc_id"), F.col("_c")))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1)))
     rows = rows.select("block", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "doc_id", "component", "n", "counts")
 
-    def compare(rows: pd.DataFrame) -> list[np.ndarray]:
+    def arrays(rows: pd.DataFrame) -> list[np.ndarray]:
         points = np.frombuffer(b"".join(rows["counts"]), "<u4").reshape(len(rows), DIMS)
-        ids, parts, n, own = (rows[c].to_numpy(np.int64) for c in ("doc_id", "component", "n", "_own"))
+        return [points, *(rows[c].to_numpy(np.int64) for c in ("doc_id", "component", "n"))]
+
+    def compare(rows: pd.DataFrame) -> list[np.ndarray]:
+        points, ids, parts, n = arrays(rows)
+        own = rows["_own"].to_numpy(np.int64)
         one, two = np.flatnonzero(own == rows["i"].iloc[0]), np.flatnonzero(own == rows["j"].iloc[0])
         x = CountTree(points[one], n[one])
         y = x if rows["i"].iloc[0] == rows["j"].iloc[0] else CountTree(points[two], n[two])
@@ -307,6 +314,29 @@ def _across(members: DataFrame, a: int, b: int) -> DataFrame:
         keep &= ids[i] > ids[j] if y is x else True
         return [np.maximum(ids[i], ids[j])[keep], np.minimum(ids[i], ids[j])[keep]]
 
+    def compare_leaves(rows: pd.DataFrame, number: np.ndarray) -> list[np.ndarray]:
+        """The same of many blocks of one leaf each; ``number`` counts the blocks."""
+        (points, ids, parts, n), found = arrays(rows), [np.empty((0, 2), np.int64)]
+        for step in range(1, LEAF):
+            i = np.flatnonzero(number[step:] == number[:-step])
+            j = i + step
+            keep = (parts[i] != parts[j]) & (np.minimum(n[i], n[j]) * b >= np.maximum(n[i], n[j]) * a)
+            i, j = i[keep], j[keep]
+            keep = np.minimum(points[i], points[j]).sum(1).astype(np.int64) * (a + b) >= a * (n[i] + n[j])
+            i, j = ids[i[keep]], ids[j[keep]]
+            found.append(np.stack([np.maximum(i, j), np.minimum(i, j)], 1))
+        return list(np.unique(np.concatenate(found), axis=0).T)
+
+    def complete(frame: pd.DataFrame, cuts: np.ndarray):
+        size = np.diff(cuts)
+        few = np.repeat(size <= LEAF, size)
+        if few.any():
+            u, v = compare_leaves(frame.iloc[: cuts[-1]][few], np.repeat(np.arange(len(size)), size)[few])
+            yield pd.DataFrame({"u": u, "v": v})
+        for k in np.flatnonzero(size > LEAF):
+            u, v = compare(frame.iloc[cuts[k] : cuts[k + 1]])
+            yield pd.DataFrame({"u": u, "v": v})
+
     def run(frames):
         held = None
         for frame in frames:
@@ -314,15 +344,11 @@ def _across(members: DataFrame, a: int, b: int) -> DataFrame:
             if not len(frame):
                 continue
             new = (frame[["block", "i", "j"]] != frame[["block", "i", "j"]].shift()).any(axis=1).to_numpy()
-            cuts = [*np.flatnonzero(new).tolist()]
+            cuts = np.flatnonzero(new)
             held = frame.iloc[cuts[-1] :]
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                u, v = compare(frame.iloc[x:y])
-                if len(u):
-                    yield pd.DataFrame({"u": u, "v": v})
+            yield from complete(frame, cuts)
         if held is not None and len(held):
-            u, v = compare(held)
-            yield pd.DataFrame({"u": u, "v": v})
+            yield from complete(held, np.array([0, len(held)]))
 
     return rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(run, "u long, v long").distinct()
 
@@ -348,10 +374,11 @@ def classes(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
     near = written(met.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct(), "shingle-near")
     links = written(_linked(written(_bounded(near, points, a, b), "shingle-bounded"), docs, k, a, b), "shingle-links")
     parts = written(components(links), "shingle-parts")
-    placed = members.join(parts, members["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    spread = placed.groupBy("block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("_n"))
-    apart = spread.where((F.col("_x") != F.col("_y")) & (F.col("_n") > 2)).select("block")
-    rest = written(placed.join(apart, "block").join(points, "doc_id").select("block", "doc_id", "component", "n", "counts"), "shingle-apart")
+    # the hub has met all others of its block
+    placed = met.join(parts, met["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    spread = placed.groupBy("block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("size"))
+    apart = spread.where(F.col("_x") != F.col("_y")).select("block", "size")
+    rest = written(placed.join(apart, "block").join(points, "doc_id").select("block", "size", "doc_id", "component", "n", "counts"), "shingle-apart")
     more = written(_across(rest, a, b).join(near, ["u", "v"], "left_anti"), "shingle-near")
     links = links.union(written(_linked(more, docs, k, a, b), "shingle-links"))
     parts = written(components(links), "shingle-parts")
