@@ -60,6 +60,6 @@ def gene_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """aln_id, seq_id, sequence: the first 120 letters A, C, G, T of documents in small groups."""
+    """aln_id, seq_id, sequence: the letters A, C, G, T of whole documents in small groups."""
     s = sequences(spark, sf_dir)
-    return s.select(F.concat(F.lit("f"), (F.col("ordinal") % 200).cast("string")).alias("aln_id"), F.col("seq_name").alias("seq_id"), F.substring("sequence", 1, 120).alias("sequence")).where(F.length("sequence") > 0)
+    return s.select(F.concat(F.lit("f"), (F.col("ordinal") % 200).cast("string")).alias("aln_id"), F.col("seq_name").alias("seq_id"), "sequence").where(F.length("sequence") > 0)

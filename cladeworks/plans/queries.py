@@ -347,7 +347,7 @@ def bes_collect(spark, d) -> DataFrame:
 
 @query()
 def hc_run(spark, d) -> DataFrame:
-    s = br.families(spark, d).select(hits.taxon_of(F.col("seq_id")).alias("node"), "seq_id", F.substring("sequence", 1, 60).alias("sequence"))
+    s = br.families(spark, d).select(hits.taxon_of(F.col("seq_id")).alias("node"), "seq_id", "sequence")
     return kernels.cluster_up(s, "((en,de)N1,(fr,es)N2)N0;", 0.9)
 
 
