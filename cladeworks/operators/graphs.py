@@ -40,47 +40,51 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return labels.select(F.col("a").alias("node"), F.col("l").alias("component"))
 
 
-def markov_clusters(matrix: np.ndarray, inflation: float = 1.4, rounds: int = 100, prune: float = 1e-5) -> list[list[int]]:
-    """Clusters of one component's symmetric weights by expansion and inflation."""
+#: Markov clustering, dense and as a table alike: entries below PRUNE of their column's largest are dropped, rounds end when no entry moves by SETTLED.
+PRUNE, MARKOV_ROUNDS, SETTLED = 1e-5, 100, 1e-6
+
+
+def markov_clusters(matrix: np.ndarray, inflation: float = 1.4, rounds: int = MARKOV_ROUNDS, prune: float = PRUNE) -> list[list[int]]:
+    """Clusters of one component's symmetric weights by expansion and inflation. An entry is judged by its share of its
+    column's largest, which itself always stays, so an even column is kept whole at any size."""
     m = matrix + np.diag(matrix.max(1, initial=0).clip(1e-9))
     m = m / m.sum(0)
     for _ in range(rounds):
-        new = (m @ m) ** inflation
+        new = m @ m
+        new = (new / new.max(0)) ** inflation
         new[new < prune] = 0
-        new = new / new.sum(0).clip(1e-300)
-        if np.abs(new - m).max() < 1e-6:
-            m = new
-            break
+        new = new / new.sum(0)
+        still = np.abs(new - m).max() < SETTLED
         m = new
-    parent = list(range(len(m)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for attractor, node in zip(*np.nonzero(m > 1e-4), strict=True):
-        a, b = find(int(attractor)), find(int(node))
-        parent[max(a, b)] = min(a, b)
-    groups: dict[int, list[int]] = {}
+        if still:
+            break
+    linked, left, groups = (m > 0) | (m.T > 0), np.ones(len(m), bool), []
     for x in range(len(m)):
-        groups.setdefault(find(x), []).append(x)
-    return list(groups.values())
-
-
-def markov_join(edges: DataFrame, inflation: float = 1.4, rounds: int = 60, prune: float = 1e-4) -> DataFrame:
-    """cluster, seq_id by Markov clustering with the matrix as a table: expansion is a join and a sum, so its size bounds no task."""
+        if left[x]:
+            group, front = np.zeros(len(m), bool), np.arange(len(m)) == x
+            while front.any():
+                group |= front
+                front = linked[front].any(0) & ~group
+            left &= ~group
+            groups.append(np.flatnonzero(group).tolist())
+    return groups
+
+
+def markov_join(edges: DataFrame, inflation: float = 1.4, rounds: int = MARKOV_ROUNDS, prune: float = PRUNE) -> DataFrame:
+    """cluster, seq_id by Markov clustering with the matrix as a table, by the rule of :func:`markov_clusters`: expansion is a join and a sum, so its size bounds no task."""
     both = edges.select(F.col("src").alias("r"), F.col("dst").alias("c"), "weight").union(edges.select("dst", "src", "weight")).groupBy("r", "c").agg(F.max("weight").alias("w"))
     loops = both.groupBy("c").agg(F.max("w").alias("w")).select(F.col("c").alias("r"), "c", "w")
-    shares = lambda m: m.select("r", "c", (F.col("w") / F.sum("w").over(Window.partitionBy("c"))).alias("w"))
+    column = Window.partitionBy("c")
+    shares = lambda m: m.select("r", "c", (F.col("w") / F.sum("w").over(column)).alias("w"))
+    inflated = lambda m: m.select("r", "c", F.pow(F.col("w") / F.max("w").over(column), F.lit(inflation)).alias("w"))
     m = cut_lineage(shares(both.where(F.col("r") != F.col("c")).union(loops)), "flow")
     for _ in range(rounds):
         a, b = m.alias("a"), m.alias("b")
-        square = a.join(b, F.col("a.c") == F.col("b.r")).groupBy(F.col("a.r").alias("r"), F.col("b.c").alias("c")).agg(F.pow(F.sum(F.col("a.w") * F.col("b.w")), F.lit(inflation)).alias("w"))
-        m = cut_lineage(shares(shares(square).where(F.col("w") >= prune)), "flow")
-        chaos = m.groupBy("c").agg((F.max("w") - F.sum(F.col("w") * F.col("w"))).alias("x")).agg(F.max("x")).first()[0]
-        if chaos is None or chaos < 1e-4:
+        square = a.join(b, F.col("a.c") == F.col("b.r")).groupBy(F.col("a.r").alias("r"), F.col("b.c").alias("c")).agg(F.sum(F.col("a.w") * F.col("b.w")).alias("w"))
+        new = cut_lineage(shares(inflated(square).where(F.col("w") >= prune)), "flow")
+        moved = new.select("r", "c", F.col("w").alias("v")).join(m, ["r", "c"], "full").agg(F.max(F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("w", F.lit(0.0))))).first()[0]
+        m = new
+        if moved is None or moved < SETTLED:
             break
     parts = components(m.select(F.col("r").alias("src"), F.col("c").alias("dst")))
     return parts.select(F.col("component").alias("cluster"), F.col("node").alias("seq_id"))

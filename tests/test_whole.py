@@ -60,3 +60,20 @@ def test_long_pairs_and_centroids():
         expected[name] = centroids[int(np.argmax(near))] if near.any() else name
         centroids += [name] * (expected[name] == name)
     assert ph.greedy_centroids(texts, 0.9) == expected and len(centroids) < 60
+
+
+def test_markov_keeps_even_cliques():
+    from cladeworks.operators import graphs
+
+    n = 3800  # (1 / n) ** 1.4 is below the prune
+    assert [len(g) for g in graphs.markov_clusters(np.ones((n, n), np.float64) - np.eye(n))] == [n]
+
+
+def test_markov_same_on_either_side_of_the_switch(spark):
+    from cladeworks.operators import graphs
+
+    # shares of 1 / 40 and their powers lie below a prune of 0.03: an absolute one would drop every entry
+    n = 40
+    even = spark.createDataFrame([(f"c{i:03d}", f"c{j:03d}", 1.0) for i in range(n) for j in range(i)], "src string, dst string, weight double")
+    assert [len(g) for g in graphs.markov_clusters(np.ones((n, n)) - np.eye(n), prune=0.03)] == [n]
+    assert [r.cluster for r in graphs.markov_join(even, prune=0.03).collect()] == ["c000"] * n
