@@ -7,7 +7,9 @@ consonants for consonants of the same script, a first name's last letter by the
 of its title. Checked numbers stay valid (Luhn), address parts stay below 256, country
 codes and key prefixes stay. The surrogate is drawn from a keyed hash, so one entity has
 one surrogate in all documents and reruns. Surrogates are checked against each other and
-against all originals; all but one of those that collide draw again until none does.
+against all originals; all but one of those that collide draw again until none does, from
+ROUNDS draws on with a number behind, so that a form with more originals than
+surrogates gets longer ones.
 Each mention keeps its own punctuation and capitals.
 
 Defined results: null text stays null, empty text empty; repeated rows are rewritten
@@ -37,8 +39,9 @@ PATTERNS = (
     ("name", r"(?<=\b(?:" + _TITLED + r")\.? )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"),
 )
 PATTERN = "|".join(p for _, p in PATTERNS)
-#: Cheap sign that a text may hold an entity.
-SIGN = r"[0-9]{3}|[0-9]\.[0-9]|@|[a-f]{32}|(?:password|passwd|pwd|token|secret|key)\s?[=:]|\b(?:" + _TITLED + r")\.? \p{Lu}"
+#: Cheap sign that a text may hold an entity: whatever fits PATTERN holds it. Cards, numbers and most phones have three digits in a
+#: row, other phones a plus and a digit, an iban two capitals and two digits.
+SIGN = r"[0-9]{3}|[0-9]\.[0-9]|@|\+[0-9]|AKIA|[A-Z]{2}[0-9]{2}|[0-9a-f]{32}|(?:password|passwd|pwd|token|secret|key)\s?[=:]|\b(?:" + _TITLED + r")\.? \p{Lu}"
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειου"}
 CONSONANTS = {"latin": "bcdfghjklmnprstvz", "cyrillic": "бвгдзклмнпрст", "greek": "βγδζκλμνπρστ"}
 OTHER_VOWELS = {"latin": "yàáâãäåæèéêëìíîïòóôõöøùúûüýÿœ", "cyrillic": "ёыэюя", "greek": "ηωάέίόύήώ"}
@@ -108,25 +111,54 @@ def luhn_digit(body: Column) -> Column:
     return ((F.lit(10) - total % 10) % 10).cast("string")
 
 
+def longer(kind: Column, gender: Column, canon: Column, base: Column, number: Column, width: int) -> Column:
+    """A surrogate beyond its form's space: what was drawn and a number of at least ``width`` digits, as letters for words.
+    A draw that is the original itself gives way to letters or digits of its hash."""
+    digits = F.lpad(number.cast("string"), width, "0")
+    digits = F.when(F.length(number.cast("string")) > width, number.cast("string")).otherwise(digits)
+    letters = kind.isin("name", "email", "secret")
+    own = F.sha2(F.concat_ws("|", F.lit(KEY), kind, canon, F.lit(str(width))), 256)
+    base = F.when(base != canon, base).when(letters, F.translate(F.substring(own, 1, 8), "0123456789abcdef", "bcdfghjklmnprstv")).otherwise(F.translate(F.substring(own, 1, 12), "abcdef", "135790"))
+    spelt = F.when(canon.rlike(r"\p{IsCyrillic}$"), F.translate(digits, "0123456789", "бвгдзклмнп")).when(canon.rlike(r"\p{IsGreek}$"), F.translate(digits, "0123456789", "βγδζκλμνπρ")).otherwise(F.translate(digits, "0123456789", "bcdfghjklm"))
+    end = F.when(gender != "f", "").when(canon.rlike(r"\p{IsCyrillic}$"), "а").when(canon.rlike(r"\p{IsGreek}$"), "α").otherwise("a")
+    body = F.concat(base, digits)
+    valid = luhn_digit(F.substring(canon, F.lit(1), F.length(canon) - 1)) == F.substring(canon, F.length(canon), F.lit(1))
+    return (
+        F.when(kind == "ip", F.concat(base, F.lit("."), digits)).when(kind == "email", F.concat(spelt, base)).when(kind == "name", F.concat(base, spelt, end))
+        .when(kind == "secret", F.concat(base, spelt)).when((kind == "card") & valid, F.concat(body, luhn_digit(body))).otherwise(body)
+    )
+
+
 def rendered(value: Column, kind: Column, new: Column) -> Column:
-    """A mention with its letters and digits replaced in order, capitals and punctuation as they were."""
+    """A mention with its letters and digits replaced in order, capitals and punctuation as they were. What a longer surrogate
+    has more goes before an address and behind anything else."""
+    held = F.length(F.regexp_replace(value, r"[^\p{L}\p{N}]", ""))
+    more = F.greatest(F.length(new) - held, F.lit(0))
+    shift = F.when(kind == "email", more).otherwise(0)
 
     def one(i: Column) -> Column:
         c = F.substring(value, i, F.lit(1))
         k = F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
-        x = F.substring(new, k, F.lit(1))
+        x = F.substring(new, k + shift, F.lit(1))
         return F.when(~c.rlike(r"[\p{L}\p{N}]"), c).when(F.lower(c) != c, F.upper(x)).otherwise(x)
 
-    return F.when(kind == "ip", new).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), ""))
+    same = F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), "")
+    rest = F.substring(new, F.when(kind == "email", F.lit(1)).otherwise(held + 1), more)
+    rest = F.when((F.upper(value) == value) & (F.lower(value) != value), F.upper(rest)).otherwise(rest)
+    return F.when(kind == "ip", new).when(more == 0, same).when(kind == "email", F.concat(rest, same)).otherwise(F.concat(same, rest))
 
 
 def assigned(entities: DataFrame) -> DataFrame:
     """kind, gender, canon, surrogate of distinct entities (kind, gender, canon), no two of a kind alike and none like an original."""
     left = written(entities.distinct().withColumn("attempt", F.lit(0)), "entities")
     originals = left.select("kind", F.col("canon").alias("surrogate")).distinct()
-    done = None
-    for attempt in range(ROUNDS):
+    done, attempt = None, 0
+    while True:
         drawn = left.withColumn("surrogate", surrogate(F.col("kind"), F.col("gender"), F.col("canon"), F.lit(attempt)))
+        if attempt >= ROUNDS:
+            # the form's space is used up, or nearly: longer ones, a place longer each round, so that they outgrow all originals
+            number = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("canon", "gender"))
+            drawn = drawn.withColumn("_n", number).withColumn("surrogate", longer(F.col("kind"), F.col("gender"), F.col("canon"), F.col("surrogate"), F.col("_n"), attempt - ROUNDS + 1))
         same = drawn.select("kind", "gender", "canon", "surrogate").join(originals.withColumn("_o", F.lit(1)), ["kind", "surrogate"], "left")
         if done is not None:
             same = same.join(done.select("kind", "surrogate", F.lit(1).alias("_d")), ["kind", "surrogate"], "left")
@@ -139,9 +171,7 @@ def assigned(entities: DataFrame) -> DataFrame:
         left = judged.where(~F.col("_ok")).select("kind", "gender", "canon")
         if left.isEmpty():
             return done
-    # nothing is left out: a form whose space is used up keeps a marked original-free number
-    number = F.concat(F.lit("x"), F.sha2(F.concat_ws("|", F.lit(KEY), "kind", "canon"), 256))
-    return done.union(left.select("kind", "gender", "canon", number))
+        attempt += 1
 
 
 def rewritten(docs: DataFrame) -> DataFrame:
