@@ -43,10 +43,13 @@ SIGNS = {
 BREAKS = " .-_'*~^"
 SIGN_COST, DROP_COST, REPEAT_COST, BREAK_COST = 1.0, 0.7, 0.3, 3.0
 LETTER = "a-zß-öø-ÿ"
-DISGUISED = re.compile(rf"[{LETTER}][^\s{LETTER},;:?\"]{{1,3}}[{LETTER}]|^[0-9@$!|+(<€£¡][{LETTER}]|[{LETTER}]{{2}}[0-9@$]$|([{LETTER}])\1\1")
+#: Letters with any sign or break among or beside them, other signs between letters, or a letter three times.
+_MIXED = "".join(re.escape(c) for c in {*SIGNS, *BREAKS} - {" "})
+DISGUISED = re.compile(rf"[{LETTER}][^\s{LETTER},;:?\"]{{1,3}}[{LETTER}]|[{LETTER}]\S*[{_MIXED}]|[{_MIXED}]\S*[{LETTER}]|([{LETTER}])\1\1")
 SPACED = re.compile(rf"(?<!\S)[{LETTER}0-9@$!](?:[ .*_-][{LETTER}0-9@$!]){{3,}}(?!\S)")
-EDGE = re.compile(rf"^[^{LETTER}0-9@$!|+(<€£¡]+|[^{LETTER}0-9@$]+$|([^{LETTER}])\1+$")
-LONGEST = 40
+EDGE = re.compile(rf"^[^{LETTER}0-9@$!|+(<€£¡]+|[^{LETTER}0-9@$]+$")
+#: What repeats over three times says no more than three.
+REPEATED = re.compile(r"(\S)\1{3,}")
 
 
 def _symbols() -> np.ndarray:
@@ -82,17 +85,19 @@ class Channel:
     def options(self, token: str, i: int) -> list[tuple[str, float]]:
         """What the i-th sign may stand for ('' for nothing, ' ' for the end of a word) and the channel's cost."""
         c = token[i]
+        run = 1
+        while i - run >= 0 and token[i - run] == c:
+            run += 1
+        after = 1
+        while i + after < len(token) and token[i + after] == c:
+            after += 1
         if c.isalpha():
-            run = 1
-            while i - run >= 0 and token[i - run] == c:
-                run += 1
-            after = 1
-            while i + after < len(token) and token[i + after] == c:
-                after += 1
             return [(c, 0.0), ("", REPEAT_COST)] if run > 1 and run + after - 1 > 2 else [(c, 0.0)]
         found = [(x, SIGN_COST) for x in SIGNS.get(c, "")]
         if c in BREAKS or not found:
             found.append(("", DROP_COST))
+        elif run > 1 and run + after - 1 > 2:
+            found.append(("", REPEAT_COST))
         if c in BREAKS:
             found.append((" ", BREAK_COST))
         return found
@@ -117,12 +122,12 @@ class Channel:
     def word(self, token: str) -> str:
         """The restored form of one token without blanks; the token itself if it isn't disguised."""
         core = EDGE.sub("", token)
-        return self.decode(core) if 2 < len(core) <= LONGEST and DISGUISED.search(core) else core
+        return self.decode(REPEATED.sub(r"\1\1\1", core)) if len(core) > 2 and DISGUISED.search(core) else core
 
     def restore(self, text: str) -> str:
         """The whole text, lower-cased, with disguised tokens restored."""
-        text = SPACED.sub(lambda m: self.decode(m[0]) if len(m[0]) <= 2 * LONGEST else m[0], text.lower())
-        return re.sub(r"\S+", lambda m: self.word(m[0]) if DISGUISED.search(m[0]) else m[0], text)
+        text = SPACED.sub(lambda m: self.decode(m[0]), text.lower())
+        return re.sub(r"\S+", lambda m: self.word(m[0]) if DISGUISED.search(EDGE.sub("", m[0])) else m[0], text)
 
 
 def features(word: str) -> list[str]:
@@ -142,8 +147,7 @@ class Reader:
         text = (text or "").lower()
         words = set(text.split())
         for m in SPACED.finditer(text):
-            if len(m[0]) <= 2 * LONGEST:
-                words.update(self.channel.decode(m[0]).split())
+            words.update(self.channel.decode(m[0]).split())
         cache = self.cache
         if len(cache) > self.KEEP:
             cache.clear()

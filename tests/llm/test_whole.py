@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cladeworks.llm import surrogates
+from cladeworks.llm import surrogates, toxicity
 
 
 def test_sign_passes_nothing_over(spark):
@@ -26,3 +26,13 @@ def test_forms_without_room_get_longer_surrogates(spark, monkeypatch):
     assert all(n.istitle() and n[-1] == "a" and t.endswith(" was here") for n, t in zip(new, found, strict=True))
     shown = spark.createDataFrame([("A.b@c.org", "email", "xyabcorg"), ("12-34", "phone", "567890"), ("LEE", "name", "bodcca")], "v string, k string, n string")
     assert [r[0] for r in shown.select(surrogates.rendered(F.col("v"), F.col("k"), F.col("n"))).collect()] == ["xyA.b@c.org", "56-7890", "BODCCA"]
+
+
+def test_disguises_of_any_length_and_shape():
+    counts = toxicity.trigram_counts(["you are stupid and an asshole and a bitch as you are a dumb ass " * 60], toxicity._symbols())
+    channel = toxicity.Channel(counts)
+    assert [channel.word(w) for w in ("a$$", "@$$hole", "455hole", "b!!!!tch", "stu" + "u" * 60 + "pid", "plain.", "42")] == ["ass", "asshole", "asshole", "bitch", "stupid", "plain", "42"]
+    spelt = " ".join("youarestupidandanassholeandabitchasyouareadumbass")
+    assert len(spelt) > 80
+    reader = toxicity.Reader(channel, lambda words: words)
+    assert {"stupid", "asshole"} & {w for ws in reader.read(spelt) for w in ws} or "stupid" in channel.restore(spelt)
