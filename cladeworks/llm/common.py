@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Largest number of rows that :func:`small` lets Spark broadcast.
-BROADCAST_ROWS = 200_000
+#: Most rows, and bytes of them, that :func:`small` lets Spark broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,29 +20,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
+    """A new folder name below the folder that the session names in ``spark.checkpoint.dir``.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local test session) a
-    temporary folder is taken instead.
+    Where that is unset, below the warehouse folder, which all executors share as well; a
+    session on one machine takes a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
+    if not base and spark.sparkContext.master.startswith("local"):
         base = "file://" + tempfile.mkdtemp(prefix="cladeworks-")
         spark.sparkContext.setCheckpointDir(base)
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     return f"{base.rstrip('/')}/cladeworks/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage is cut, lost executors cost nothing."""
+#: Folders of the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are :func:`written` inside are deleted at its end, but for those written to keep.
+
+    Nothing that is read later may depend on them without being written itself.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, what: str, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage is cut, lost executors cost nothing.
+
+    In a :func:`scratch` the table goes at its end; with ``keep``, at the end of the one around it, if any.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, what)
+    for scope in _scopes[-2:-1] if keep else _scopes[-1:]:
+        scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a written table) with a broadcast hint if it has at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (a written table) with a broadcast hint if it has at most ``rows`` rows and ``size`` bytes, else as it is."""
+
+    def width(field) -> Column:
+        if isinstance(field.dataType, T.ArrayType):
+            text = isinstance(field.dataType.elementType, T.StringType)
+            return F.octet_length(F.concat_ws("", field.name)) + 16 * F.size(field.name) if text else 8 * F.size(field.name)
+        return F.octet_length(field.name) if isinstance(field.dataType, (T.StringType, T.BinaryType)) else F.lit(16)
+
+    widths = sum((F.coalesce(width(f), F.lit(0)) for f in df.schema), F.lit(16)).cast("long")
+    n, held = df.select(widths.alias("_w")).limit(rows + 1).agg(F.count("*"), F.sum("_w")).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= size else df
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

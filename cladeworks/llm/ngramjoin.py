@@ -1,27 +1,31 @@
 """Jaccard join of texts on word shingles, bounded by count vectors in an R-tree.
 
 1. A text's set of shingles is a sorted array of 64-bit hashes. Texts with equal sets
-   are one class; only classes go on.
-2. Two sets that link differ in at most D elements, D known from their sizes. Hash
-   space is cut into D + 1 groups: some group then holds the same elements in both. A
-   class emits one signature per group (the sum of the mixed hashes in it), at the size
-   level of its own and, close to the next level's lower bound, at that one too. Only
-   signatures of at least two classes go on. This loses no pair.
-3. Every member of a signature is first checked against one of them, that which is in
-   most signatures. The links found are closed to components, and only the others that are
-   still in different components of one signature are compared further: their count vectors
-   are packed into an R-tree, whose node corners and then points bound the overlap of
-   two sets by the sum of coordinate minima (signatures of few members, each a tree of one
-   leaf, many at a time), and pairs that the bound leaves are checked on the sets
-   themselves. For that, the sets go once each to the component of candidate pairs they are
-   in (a component of over LARGE bytes by pairs instead).
-
-So a large group of near copies costs one check a member and signature, not all pairs;
-members are compared in blocks of CHUNK, each pair of blocks in a task of its own.
+   are one class; only classes go on. The same pass counts all shingles in a sketch of
+   fixed size (:data:`SKETCH` buckets).
+2. All sets are put in one order: by the sketch's count of an element, rarer ones first,
+   then by hash. Two linked sets share at least ceil(t * n) elements of either, so
+   they share one of the first n - ceil(t * n) + 1. Each class sends these elements,
+   and the classes of one element are a block. This loses no pair, whatever the
+   order; the counts only see to it that what very many texts share makes no block.
+3. Every member of a block is first checked against one of them, that which is in
+   most blocks: sizes, then count vectors (elements hashed into DIMS groups, the sum of
+   the coordinates' minima bounds the overlap), then the sets. Only members that are
+   still in different components of one block are compared further: their count
+   vectors are packed into an R-tree, whose node corners and then points bound the
+   overlap (blocks of few members, each a tree of one leaf, many at a time), and pairs
+   that the bound leaves are checked on the sets themselves. For that, the set of a
+   pair's centre goes once to each TILE of its partners, whose sets stream past it.
+
+So a large group of near copies costs one check a member and block, not all pairs;
+members are compared in blocks of CHUNK, each pair of blocks in a task of its own, and a
+task holds one set at a time. An element that the sketch counts often is dealt over
+several tasks.
 
 Defined results: a null or empty text, or one without words, has no shingles and links
 with nothing; a text of fewer words than a shingle is one shingle; repeated rows are
-classes' members like any other; a null identifier takes no part in components and has
+classes' members like any other; rows of one identifier and different texts are one node
+that has the links of all of them; a null identifier takes no part in components and has
 none; an empty table gives no rows; other columns are not read.
 """
 
@@ -32,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hashes_of, mix64, small, table, text_bytes, words_in, written
+from .common import hashes_of, mix64, scratch, small, table, text_bytes, words_in, written
 from .components import components
 
-DIMS, CHUNK, LEAF, FAN, LARGE = 128, 2048, 16, 8, 64 << 20
-#: Size levels grow by this factor.
-LEVEL = 1.5
+DIMS, CHUNK, LEAF, FAN, TILE = 128, 2048, 16, 8, 64
+#: Buckets of the sketch that counts shingles, and in how many rows it travels.
+SKETCH, PARTS = 1 << 22, 64
+#: Elements in a bucket counted this often are dealt over tasks.
+OFTEN = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -66,52 +72,23 @@ def counts_of(elements: np.ndarray, dims: int = DIMS) -> np.ndarray:
     return np.bincount((elements >> np.uint64(40)).astype(np.int64) % dims, minlength=dims).astype(np.uint32)
 
 
-class Signatures:
-    """The signatures of sets at a threshold of a / b."""
-
-    def __init__(self, a: int, b: int):
-        self.a, self.b = a, b
-        self.bounds = [1]
-        while self.bounds[-1] < 1 << 40:
-            self.bounds.append(max(self.bounds[-1] + 1, int(self.bounds[-1] * LEVEL)))
-        self.bounds, self.known = np.array(self.bounds), {}
-
-    def differing(self, larger: int) -> int:
-        """Most elements in which two linked sets differ, the larger one of this size (and so the smaller one no larger)."""
-        return 2 * larger * (self.b - self.a) // (self.a + self.b)
-
-    def groups(self, level: int) -> tuple[int, int]:
-        """How many groups a level has, and how many of them may be empty while two linked sets still share a filled one.
-
-        Of g groups at least g - D are the same in both sets. With spare ones beyond
-        D + 1, a set with few empty groups need not emit those, which would be the same
-        in very many sets.
-        """
-        differing = self.differing(int(self.bounds[level + 1]) - 1)
-        least, spare = self.bounds[level] * self.a / self.b, 0
-        for _ in range(3):
-            empty = (differing + 1 + spare) * np.exp(-least / (differing + 1 + spare))
-            spare = int(np.ceil(empty + 4 * np.sqrt(empty) + 1))
-        return (differing + 1 + spare, spare) if differing else (1, 0)
-
-    def of(self, elements: np.ndarray) -> np.ndarray:
-        n = len(elements)
-        level = int(np.searchsorted(self.bounds, n, side="right")) - 1
-        levels = [level, level + 1] if n * self.b >= self.bounds[level + 1] * self.a else [level]
-        mixed, out = mix64(elements ^ np.uint64(0xA24BAED4963EE407)), []
-        for x in levels:
-            if x not in self.known:
-                self.known[x] = self.groups(x)
-            groups, spare = self.known[x]
-            if groups > 1:
-                group = ((elements >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
-                order = np.argsort(group, kind="stable")
-                running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order])])
-                cut = np.searchsorted(group[order], np.arange(groups + 1))
-                sums = mix64(running[cut[1:]] - running[cut[:-1]] + np.arange(groups, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(x * 0xD1B54A32D192ED03 % (1 << 64)))
-                filled = cut[1:] > cut[:-1]
-                out.append(sums[filled] if (~filled).sum() <= spare else sums)
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+def buckets_of(elements: np.ndarray) -> np.ndarray:
+    return (mix64(elements ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+
+
+def prefixes(sets: list[np.ndarray], rarity: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The elements that each set sends at a threshold of a / b, and how many of them each set has.
+
+    ``rarity`` has a small number for each bucket; elements go by it and then by their own value.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    elements = np.concatenate(sets) if len(sets) else np.empty(0, np.uint64)
+    own = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+    # sets are sorted, so a stable sort leaves elements of one rarity in order
+    elements = elements[np.argsort(own << 8 | rarity[buckets_of(elements)], kind="stable")]
+    sent = np.where(sizes > 0, sizes + (-sizes * a) // b + 1, 0)
+    place = np.arange(len(elements)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return elements[place < np.repeat(sent, sizes)], sent
 
 
 class CountTree:
@@ -151,77 +128,106 @@ class CountTree:
         return np.stack([self.order[found[:, 0]], other.order[found[:, 1]]], 1)
 
 
-def _batches(docs: DataFrame, names: str, make):
-    """Runs ``make(identifiers, sets)`` over the rows, a megabyte or so at a time; it returns Arrow arrays."""
+def _sliced(batches):
+    """Identifiers, bytes and offsets of the texts, a megabyte or so at a time."""
+    for b in batches:
+        ids, column = b.column(0), b.column(1)
+        at, n = 0, b.num_rows
+        _, offsets = text_bytes(column)
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
+            yield ids.slice(at, to - at), *text_bytes(column.slice(at, to - at))
+            at = to
+
+
+def sized(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, n (size of its set), key and key2 (together the set's identity) and counts (the point) of columns doc_id, text.
+
+    Each task adds PARTS rows of its own with a ``part``, whose ``counts`` are its part of the sketch.
+    """
     import pyarrow as pa
+    import zstandard
 
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    names = "doc_id long, n long, key long, key2 long, counts binary, part int"
     columns = [x.split()[0] for x in names.split(",")]
 
     def run(batches):
-        for b in batches:
-            ids, column = b.column(0), b.column(1)
-            at, n = 0, b.num_rows
-            _, offsets = text_bytes(column)
-            while at < n:
-                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
-                yield pa.RecordBatch.from_arrays(make(ids.slice(at, to - at), *text_bytes(column.slice(at, to - at))), names=columns)
-                at = to
+        sketch = np.zeros(SKETCH, np.uint32)
+
+        def make(ids, data, offsets):
+            sets = shingle_sets(data, offsets, k)
+            np.add.at(sketch, buckets_of(np.concatenate(sets)) if sets else np.empty(0, np.int64), 1)
+            key = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64)
+            key2 = np.array([mix64(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for x in sets], np.uint64)
+            points = pa.array([counts_of(x).astype("<u4").tobytes() for x in sets], pa.binary())
+            return [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(mix64(key).view(np.int64)), pa.array(key2.view(np.int64)), points, pa.nulls(len(sets), pa.int32())]
+
+        for x in _sliced(batches):
+            yield pa.RecordBatch.from_arrays(make(*x), names=columns)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        parts = [pack(x.astype("<u4").tobytes()) for x in np.split(sketch, PARTS)]
+        none = pa.nulls(PARTS, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(parts, pa.binary()), pa.array(range(PARTS), pa.int32())], names=columns)
 
     return docs.mapInArrow(run, names)
 
 
-def sized(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (size of its set), key and key2 (together the set's identity) of columns doc_id, text."""
-    import pyarrow as pa
-
-    def make(ids, data, offsets):
-        sets = shingle_sets(data, offsets, k)
-        key = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64)
-        key2 = np.array([mix64(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for x in sets], np.uint64)
-        return [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(mix64(key).view(np.int64)), pa.array(key2.view(np.int64))]
-
-    return _batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, n long, key long, key2 long", make)
-
-
-def signatures(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
-    """sig, key: the signatures of each distinct set of a batch."""
-    import pyarrow as pa
-
-    maker = Signatures(a, b)
+def rarity_of(facts: DataFrame) -> np.ndarray:
+    """A byte for each bucket of the sketch, larger for larger counts, and the counts it stands for in eighths of doublings."""
+    import pandas as pd
+    import zstandard
 
-    def make(_, data, offsets):
-        sigs, keys, seen = [], [], set()
-        for x in shingle_sets(data, offsets, k):
-            key = int(x.sum(dtype=np.uint64))
-            if len(x) and key not in seen:
-                seen.add(key)
-                sigs.append(maker.of(x))
-                keys.append(np.full(len(sigs[-1]), key, np.uint64))
-        join = lambda x: np.concatenate(x) if x else np.empty(0, np.uint64)
-        return [pa.array(join(sigs).view(np.int64)), pa.array(mix64(join(keys)).view(np.int64))]
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total, unpack = np.zeros(SKETCH // PARTS, np.uint64), zstandard.ZstdDecompressor().decompress
+        for x in rows["counts"]:
+            total += np.frombuffer(unpack(x), "<u4")
+        steps = np.minimum(np.round(4 * np.log2(total + np.uint64(1))), 255).astype(np.uint8)
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "steps": [steps.tobytes()]})
 
-    return _batches(docs.select(F.lit(0).alias("none"), "text"), "sig long, key long", make)
+    # a fixed number of bytes, whatever the corpus
+    found = facts.where(F.col("part").isNotNull()).select("part", "counts").groupBy("part").applyInPandas(add, "part int, steps binary").collect()
+    rarity = np.zeros(SKETCH, np.uint8)
+    for part, steps in found:
+        rarity[part * (SKETCH // PARTS) : (part + 1) * (SKETCH // PARTS)] = np.frombuffer(steps, np.uint8)
+    return rarity
 
 
-def points_of(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, counts (the point) of columns doc_id, text."""
+def sent_elements(docs: DataFrame, k: int, a: int, b: int, rarity: np.ndarray) -> DataFrame:
+    """element, salt, key: what each distinct set of a task sends. Elements counted often have several salts."""
     import pyarrow as pa
 
-    def make(ids, data, offsets):
-        sets = shingle_sets(data, offsets, k)
-        return [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array([counts_of(x).astype("<u4").tobytes() for x in sets], pa.binary())]
+    held = docs.sparkSession.sparkContext.broadcast(rarity)
+    often = max(OFTEN, int(8 * (2.0 ** (rarity / 4.0)).mean()))
 
-    return _batches(docs.select("doc_id", "text"), "doc_id long, n long, counts binary", make)
+    def run(batches):
+        seen: set[int] = set()
+        for _, data, offsets in _sliced(batches):
+            sets, keys = [], []
+            for x in shingle_sets(data, offsets, k):
+                key = int(x.sum(dtype=np.uint64))
+                if len(x) and key not in seen:
+                    seen.add(key)
+                    sets.append(x)
+                    keys.append(key)
+            elements, sent = prefixes(sets, held.value, a, b)
+            key = mix64(np.repeat(np.array(keys, np.uint64), sent))
+            salts = np.maximum(2.0 ** (held.value[buckets_of(elements)] / 4.0) / often, 1).astype(np.uint64)
+            salt = np.where(salts > 1, key % salts + np.uint64(1), np.uint64(0)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(elements.view(np.int64)), pa.array(salt), pa.array(key.view(np.int64))], names=["element", "salt", "key"])
+
+    return docs.select(F.lit(0).alias("none"), "text").mapInArrow(run, "element long, salt int, key long")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, elements (sorted 64-bit hashes) of columns doc_id, text."""
     import pyarrow as pa
 
-    def make(ids, data, offsets):
-        return [ids, pa.array([x.tobytes() for x in shingle_sets(data, offsets, k)], pa.binary())]
+    def run(batches):
+        for ids, data, offsets in _sliced(batches):
+            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in shingle_sets(data, offsets, k)], pa.binary())], names=["doc_id", "elements"])
 
-    return _batches(docs.select("doc_id", "text"), "doc_id long, elements binary", make)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, elements binary")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, a: int, b: int) -> DataFrame:
@@ -250,44 +256,36 @@ def _link(p: np.ndarray, q: np.ndarray, a: int, b: int) -> bool:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
-    """The pairs (u, v; a written table) whose sets link."""
+    """The pairs (u, v; a written table) whose sets link. The end with more partners is a pair's centre."""
     import pyarrow as pa
 
-    parts = written(components(pairs), "pair-parts")
-    wanted = small(parts.select(F.col("node").alias("doc_id")))
-    sets = written(sets_of(docs.join(wanted, "doc_id", "left_semi"), k), "pair-sets")
-    placed = sets.join(parts, sets["doc_id"] == parts["node"]).select("component", "doc_id", "elements")
-    sizes = parts.join(sets.select("doc_id", F.octet_length("elements").alias("_b")), F.col("node") == F.col("doc_id")).groupBy("component").agg(F.sum("_b").alias("_b"))
-    large = written(sizes.where(F.col("_b") > LARGE).select("component"), "pair-large")
-    of_pairs = pairs.join(parts, pairs["u"] == parts["node"]).select("component", "u", "v")
-    rows = placed.select("component", F.lit(0).alias("kind"), F.col("doc_id").alias("u"), F.lit(0).cast("long").alias("v"), "elements").union(of_pairs.select("component", F.lit(1), "u", "v", F.lit(None).cast("binary")))
-    near = rows.join(small(large), "component", "left_anti").repartition("component").sortWithinPartitions("component", "kind", "u")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("_d"))
+    ends = written(ends, "pair-ends")
+    sets = written(sets_of(docs.join(small(ends.select("doc_id")), "doc_id", "left_semi"), k), "pair-sets")
+    degree = small(ends)
+    of = lambda end: degree.select(F.col("doc_id").alias(end), F.col("_d").alias(f"_{end}"))
+    swap = F.col("_u") > F.col("_v")
+    stars = pairs.join(of("u"), "u").join(of("v"), "v").select(F.when(swap, F.col("u")).otherwise(F.col("v")).alias("centre"), F.when(swap, F.col("v")).otherwise(F.col("u")).alias("other"), F.greatest("_u", "_v").alias("_d"))
+    stars = stars.select("centre", F.pmod(F.xxhash64("other"), F.ceil(F.col("_d") / TILE)).cast("int").alias("tile"), "other")
+    stars = written(stars, "pair-stars")
+    centres = stars.select("centre", "tile").distinct().join(sets, F.col("centre") == F.col("doc_id")).select("centre", "tile", F.lit(None).cast("long").alias("other"), "elements")
+    others = stars.join(sets, F.col("other") == F.col("doc_id")).select("centre", "tile", "other", "elements")
+    rows = centres.union(others).repartition("centre", "tile").sortWithinPartitions("centre", "tile", F.col("other").asc_nulls_first())
 
     def verify(batches):
         here, held = None, {}
         for x in batches:
             keep = []
-            for component, kind, u, v, elements in zip(*(x.column(c).to_pylist() for c in ("component", "kind", "u", "v", "elements")), strict=True):
-                if component != here:
-                    here, held = component, {}
-                if kind == 0:
-                    held[u] = np.frombuffer(elements, np.uint64)
-                elif _link(held[u], held[v], a, b):
-                    keep.append((u, v))
+            for key, other, elements in zip(zip(x.column("centre").to_pylist(), x.column("tile").to_pylist(), strict=True), x.column("other").to_pylist(), x.column("elements").to_pylist(), strict=True):
+                if key != here:
+                    here, held = key, {}
+                if other is None:
+                    held[elements] = np.frombuffer(elements, np.uint64)
+                elif any(_link(c, np.frombuffer(elements, np.uint64), a, b) for c in held.values()):
+                    keep.append((max(key[0], other), min(key[0], other)))
             yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in keep], pa.int64()) for c in (0, 1)], names=["u", "v"])
 
-    found = near.select("component", "kind", "u", "v", "elements").mapInArrow(verify, "u long, v long")
-    if large.isEmpty():
-        return found
-    side = lambda n: placed.select(F.col("doc_id").alias(n), F.col("elements").alias(f"{n}e"))
-    far = of_pairs.join(small(large), "component", "left_semi").join(side("u"), "u").join(side("v"), "v")
-
-    def verify_pairs(batches):
-        for x in batches:
-            keep = [_link(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), a, b) for p, q in zip(x.column("ue").to_pylist(), x.column("ve").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([x.column(c).filter(pa.array(keep, pa.bool_())) for c in ("u", "v")], names=["u", "v"])
-
-    return found.union(far.select("u", "v", "ue", "ve").mapInArrow(verify_pairs, "u long, v long"))
+    return rows.mapInArrow(verify, "u long, v long")
 
 
 def _across(members: DataFrame, a: int, b: int) -> DataFrame:
@@ -356,37 +354,49 @@ def _across(members: DataFrame, a: int, b: int) -> DataFrame:
 def classes(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of ``docs``: components of links J >= a / b on k-word shingles."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = written(sized(docs, k), "shingle-sizes")
-    reps = facts.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key", "key2", "n").agg(F.min("doc_id").alias("rep"))
-    sig = Window.partitionBy("sig")
-    shared = signatures(docs, k, a, b).repartition("sig").withColumns({"_min": F.min("key").over(sig), "_max": F.max("key").over(sig)})
-    shared = shared.where(F.col("_min") != F.col("_max")).select("sig", "key", "_min", "_max").distinct()
-    # signatures of the same members are one block
+    every = written(sized(docs, k), "shingle-sizes", keep=True)
+    facts = every.where(F.col("part").isNull())
+    with scratch(docs.sparkSession):
+        same = facts.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key", "key2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_rows"))
+        # those of one row are their own
+        copied = written(same.where(F.col("_rows") > 1).drop("_rows"), "shingle-copied", keep=True)
+        parts = written(components(_links(docs, every, facts, same.drop("_rows"), k, a, b)), "shingle-parts", keep=True)
+    classed = facts.join(small(copied), ["key", "key2", "n"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    # a class goes by its smallest identifier, so a component of classes has its documents' smallest
+    found = classed.join(small(parts), classed["rep"] == parts["node"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def _links(docs: DataFrame, every: DataFrame, facts: DataFrame, reps: DataFrame, k: int, a: int, b: int) -> DataFrame:
+    """u, v: links between classes that join all of a component."""
+    sent = sent_elements(docs, k, a, b, rarity_of(every)).repartition("element", "salt")
+    own = Window.partitionBy("element", "salt")
+    sent = sent.withColumns({"_min": F.min("key").over(own), "_max": F.max("key").over(own)})
+    shared = written(sent.where((F.col("_min") != F.col("_max")) | (F.col("salt") > 0)).select("element", "key").distinct(), "shingle-shared")
+    # elements of the same classes are one block
     low = F.xxhash64("key").bitwiseAND(F.lit((1 << 32) - 1))
-    block = F.xxhash64(F.sum(low).over(sig), F.count("*").over(sig), "_min", "_max").alias("block")
-    keys = written(shared.select(block, "key").distinct(), "shingle-blocks")
-    members = written(keys.join(reps, "key").select("block", F.col("rep").alias("doc_id")), "shingle-members")
-    wanted = small(written(members.select("doc_id").distinct(), "shingle-wanted"))
-    points = written(points_of(docs.join(wanted, "doc_id", "left_semi"), k), "shingle-points")
+    sums = shared.groupBy("element").agg(F.sum(low).alias("_s"), F.count("*").alias("_n"), F.min("key").alias("_x"), F.max("key").alias("_y")).where(F.col("_n") > 1)
+    firsts = sums.groupBy(F.xxhash64("_s", "_n", "_x", "_y").alias("block")).agg(F.min("element").alias("element"))
+    keys = shared.join(firsts, "element").select("block", "key")
+    members = written(keys.join(reps.select("key", F.col("rep").alias("doc_id"), "n"), "key").select("block", "doc_id", "n"), "shingle-members")
     often = members.join(members.groupBy("doc_id").agg(F.count("*").alias("_d")), "doc_id")
-    hub = often.groupBy("block").agg(F.max_by("doc_id", F.struct("_d", -F.col("doc_id"))).alias("hub"))
-    met = members.join(hub, "block").where(F.col("doc_id") != F.col("hub"))
-    near = written(met.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct(), "shingle-near")
+    hub = often.groupBy("block").agg(F.max_by(F.struct("doc_id", "n"), F.struct("_d", -F.col("doc_id"))).alias("_hub"))
+    hub = hub.select("block", F.col("_hub.doc_id").alias("hub"), F.col("_hub.n").alias("hub_n"))
+    met = written(members.join(hub, "block").where(F.col("doc_id") != F.col("hub")), "shingle-met")
+    wanted = small(written(members.select("doc_id").distinct(), "shingle-wanted"))
+    points = written(facts.select("doc_id", "n", "counts").join(wanted, "doc_id", "left_semi").distinct(), "shingle-points")
+    near = met.where(F.least("n", "hub_n") * b >= F.greatest("n", "hub_n") * a)
+    near = written(near.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct(), "shingle-near")
     links = written(_linked(written(_bounded(near, points, a, b), "shingle-bounded"), docs, k, a, b), "shingle-links")
     parts = written(components(links), "shingle-parts")
     # the hub has met all others of its block
-    placed = met.join(parts, met["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = met.join(small(parts), met["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     spread = placed.groupBy("block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("size"))
     apart = spread.where(F.col("_x") != F.col("_y")).select("block", "size")
     rest = written(placed.join(apart, "block").join(points, "doc_id").select("block", "size", "doc_id", "component", "n", "counts"), "shingle-apart")
     more = written(_across(rest, a, b).join(near, ["u", "v"], "left_anti"), "shingle-near")
-    links = links.union(written(_linked(more, docs, k, a, b), "shingle-links"))
-    parts = written(components(links), "shingle-parts")
-    classed = facts.join(reps, ["key", "key2", "n"], "left")
-    # a class goes by its smallest identifier, so a component of classes has its documents' smallest
-    found = classed.join(parts, classed["rep"] == parts["node"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return links.union(written(_linked(more, docs, k, a, b), "shingle-links"))
 
 
 def without_near_copies(docs: DataFrame, k: int = 5, a: int = 4, b: int = 5) -> DataFrame:
@@ -395,8 +405,9 @@ def without_near_copies(docs: DataFrame, k: int = 5, a: int = 4, b: int = 5) ->
     An identifier names one document: of rows that repeat one, that of smallest text hash stays. Rows
     without an identifier stay, exact repeats of their texts once.
     """
-    found = classes(docs.select("doc_id", "text"), k, a, b)
-    gone = written(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    with scratch(docs.sparkSession):
+        found = classes(docs.select("doc_id", "text"), k, a, b)
+        gone = written(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies", keep=True)
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"))
     rows = rows.join(small(gone), F.col("_id") == F.col("_gone"), "left_anti")
     again = written(rows.groupBy("_id", F.when(F.col("_id").isNull(), F.col("_h")).alias("_n")).agg(F.count("*").alias("_c"), F.min("_h").alias("_least")).where(F.col("_c") > 1), "near-again")
