@@ -5,10 +5,15 @@ anything is shuffled by host. A host's seed is the share of its pages that an al
 (or block) rule fits, over one page more than it has. Trust follows links forward:
 x = s + damping * P^T x with P the shares of a host's outgoing links (personalised
 PageRank up to the factor 1 - damping). Distrust follows them backward, from blocked
-hosts to those that link to them, by the shares of incoming links. The series is
-summed term by term; each term holds only the hosts it reaches and is written to the
-shared folder, and the sum ends when a term is empty or below ``tolerance``. A host
-is blocked when its distrust exceeds its trust by more than ``threshold``.
+hosts to those that link to them, by the shares of incoming links. Next to each the
+same sum runs with every host as a whole seed, and what a host is judged by is the
+quotient: the share of all that spreads to it which comes from seeds (or the host's own
+seed, if that is larger). The quotient doesn't depend on the size of the graph or on how
+many hosts share a neighbour. A host is blocked when its distrust is over ``threshold`` and
+over its trust.
+
+The sums are iterated, a table a round in the shared folder, until a round adds at most
+``tolerance`` of all that has spread; no host's or edge's share is dropped for being small.
 
 Defined results: a null url or one without ``://`` has empty host and path and,
 fitting no rule and linked with nothing, is allowed; null html has no links; links of a
@@ -23,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, table, written
+from .common import scratch, small, table, written
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -59,38 +64,46 @@ def edges(pages: DataFrame) -> DataFrame:
     return links.where((F.col("dst") != F.col("src")) & (F.col("src") != "")).groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float, tolerance: float, rounds: int) -> DataFrame:
-    """kind, host, x: the sum of the series. ``seeds`` has kind, host, y; ``links`` has kind, host, to, w."""
-    term = written(seeds, "link-term")
-    terms = [term]
-    for _ in range(rounds):
-        term = written(term.join(links, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg((F.sum(F.col("y") * F.col("w")) * damping).alias("y")).where(F.col("y") >= tolerance), "link-term")
-        if term.isEmpty():
+def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """kind, host, y, z: the sums of what spreads from ``seeds`` (kind, host, y: from seeds, z: the baseline) along ``links`` (kind, host, to, w)."""
+    seeds = written(seeds, "link-seeds", keep=True)
+    at, before = seeds, seeds.agg(F.sum("z")).first()[0] or 0.0
+    while before:
+        with scratch(seeds.sparkSession):
+            moved = at.join(links, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("y") * F.col("w") * damping).alias("y"), (F.col("z") * F.col("w") * damping).alias("z"))
+            at = written(seeds.union(moved).groupBy("kind", "host").agg(F.sum("y").alias("y"), F.sum("z").alias("z")), "link-sums", keep=True)
+        # P keeps or lowers mass, so what rounds add shrinks by the damping at least
+        now = at.agg(F.sum("z")).first()[0]
+        if now - before <= tolerance * now:
             break
-        terms.append(term)
-    total = terms[0]
-    for t in terms[1:]:
-        total = total.union(t)
-    return total.groupBy("kind", "host").agg(F.sum("y").alias("x"))
+        before = now
+    return at
 
 
-def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, threshold: float = 0.5, tolerance: float = 1e-6, rounds: int = 40) -> DataFrame:
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, threshold: float = 0.5, tolerance: float = 1e-6) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every page."""
     named = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     rule, verdict = fitting(F.col("host"), F.col("path"), rules)
     named = named.withColumn("rule", rule).withColumn("_verdict", verdict)
     counts = named.groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("_verdict") == "allow").alias("allow"), F.count_if(F.col("_verdict") == "block").alias("block"))
     shares = counts.where(F.col("host") != "").select("host", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), (F.col(k) / (F.col("n") + 1)).alias("y")) for k in ("allow", "block")))).alias("_s"))
-    seeds = shares.select("_s.kind", "host", "_s.y").where(F.col("y") > 0)
+    own = written(shares.select("_s.kind", "host", "_s.y").where(F.col("y") > 0), "link-own")
     graph = written(edges(pages), "link-edges")
-    forward = graph.join(graph.groupBy("src").agg(F.sum("n").alias("_all")), "src").select(F.lit("allow").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("_all")).alias("w"))
-    backward = graph.join(graph.groupBy("dst").agg(F.sum("n").alias("_all")), "dst").select(F.lit("block").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("_all")).alias("w"))
-    links = written(forward.union(backward), "link-weights")
-    sums = spread(seeds, links, damping, tolerance, rounds)
-    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("x"))), F.lit(0.0))
-    hosts = written(sums.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust")), "link-hosts")
+    if graph.isEmpty():
+        sums = own.select("kind", "host", "y", F.lit(1.0).alias("z"))
+    else:
+        forward = graph.join(graph.groupBy("src").agg(F.sum("n").alias("_all")), "src").select(F.lit("allow").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("_all")).alias("w"))
+        backward = graph.join(graph.groupBy("dst").agg(F.sum("n").alias("_all")), "dst").select(F.lit("block").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("_all")).alias("w"))
+        links = written(forward.union(backward), "link-weights")
+        everyone = graph.select(F.explode(F.array("src", "dst")).alias("host")).union(own.select("host")).distinct()
+        everyone = everyone.select(F.explode(F.array(F.lit("allow"), F.lit("block"))).alias("kind"), "host")
+        sums = spread(everyone.join(own, ["kind", "host"], "left").select("kind", "host", F.coalesce("y", F.lit(0.0)).alias("y"), F.lit(1.0).alias("z")), links, damping, tolerance)
+    parts = sums.join(own.withColumnRenamed("y", "own"), ["kind", "host"], "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    reached = F.when(F.col("z") > 1.0, (F.col("y") - F.col("own")) / (F.col("z") - 1.0)).otherwise(0.0)
+    of = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.greatest("own", reached))), F.lit(0.0))
+    hosts = written(parts.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust")), "link-hosts")
     rows = named.join(small(hosts), "host", "left").fillna(0.0, ["trust", "distrust"])
-    spread_verdict = F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow")
+    spread_verdict = F.when((F.col("distrust") > threshold) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("_verdict", spread_verdict).alias("verdict"), "trust", "distrust")
 
 
