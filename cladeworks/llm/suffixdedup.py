@@ -7,10 +7,12 @@ a smaller identifier.
    it; windows that are equal have equal names. A span is a run of neighbouring windows
    of one name. Spans whose name occurs in one document only are done: nothing in them
    repeats elsewhere. This is the one shuffle that all documents take part in, with a few
-   bytes a span.
+   bytes a span. Where a task meets a name in two documents, it sends these two once as
+   witnesses, and the name's other spans, whose fate is known, are dealt over all tasks.
 2. The other spans' bytes go to shards by name, so equal windows meet in a shard. Equal
-   spans of one batch are sent once, for the smallest document; the others are already
-   known to go. A passage in very many documents is thus sent once a batch.
+   spans of one task are sent once, for the smallest document so far; the others are
+   already known to go. A passage in very many documents is thus sent once a task. There
+   are as many shards as SHARD_BYTES of text ask for, handled one after the other.
 3. A shard works in sub-shards of bounded size. Each has a suffix array, by
    Larsson-Sadakane refinement in numpy (ranks of 8 bytes, doubled until they tell LENGTH
    bytes apart, over groups not yet told apart), and Kasai's common prefixes (in text
@@ -21,8 +23,8 @@ a smaller identifier.
 4. Intervals are merged per document and cut out of the texts.
 
 Defined results: null text is empty; shorter texts keep all bytes; a null identifier
-neither removes nor loses bytes; rows with one identifier never remove from each other;
-repeated rows give a row each; an empty table gives no rows; other columns are not read.
+neither removes nor loses bytes; rows with one identifier never remove from each other,
+and are told apart by a number where their texts differ; repeated rows give a row each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +39,9 @@ from pyspark.sql.window import Window
 from .common import mix64, small, table, text_bytes, written
 
 LENGTH, GRAM = 50, 16
-SUBSHARD, MOST_WINDOWS = 2 << 20, 255
+SUBSHARD, SHARD_BYTES, MOST_WINDOWS = 2 << 20, 64 << 20, 255
+#: Over how many keys the spans of a name are dealt that a task knows to repeat.
+SALTS = 1024
 _BASE = 0x5851F42D4C957F2D
 
 
@@ -182,9 +186,12 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
 SENT = ("u4", "i8", "i4", "i4", "u1", "u1")  # name, document, tag, start, windows, bytes
 
 
-def batch_segments(doc_ids, tags, data: np.ndarray, offsets: np.ndarray, text, start, windows, names, shards: int):
-    """The spans of a batch by shard, each once; and the intervals already known to go. Yields (shard, sent or known)."""
-    raw, best = data.tobytes(), {}
+def batch_segments(doc_ids, tags, data: np.ndarray, offsets: np.ndarray, text, start, windows, names, shards: int, best: dict[bytes, int] | None = None):
+    """The spans of a batch by shard, each once; and the intervals already known to go. Yields (shard, sent, known).
+
+    ``best`` holds the smallest document so far of each span of the batches before.
+    """
+    raw, best = data.tobytes(), {} if best is None else best
     a = offsets[text] + start
     b = a + windows + LENGTH - 1
     documents = doc_ids[text]
@@ -277,24 +284,42 @@ def intervals(rows: DataFrame, shards: int) -> DataFrame:
     import pyarrow as pa
 
     def name(batches):
+        shown: set[int] = set()  # names that this task has sent witnesses of
         for b in batches:
             at = 0
             _, offsets = text_bytes(b.column(2))
             while at < b.num_rows:
                 to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
                 text, start, windows, names = spans_of(*text_bytes(b.column(2).slice(at, to - at)))
-                take = pa.array(text + at)
-                tags = b.column(1).take(take).to_numpy().astype(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), pa.array((names >> np.uint64(16)).view(np.int64)), pa.array(start << 24 | tags << 8 | windows)], names=["doc_id", "name", "span"])
+                if not len(text):
+                    at = to
+                    continue
+                ids = b.column(0).slice(at, to - at).to_numpy()[text]
+                tags = b.column(1).slice(at, to - at).to_numpy().astype(np.int64)[text]
+                names, span = (names >> np.uint64(16)).view(np.int64), start << 24 | tags << 8 | windows
+                # the smallest and the largest document of each name in the batch
+                order = np.lexsort((ids, names))
+                cut = np.flatnonzero(np.diff(names[order], prepend=-1))
+                last = np.append(cut[1:], len(order)) - 1
+                twice = ids[order[cut]] != ids[order[last]]
+                known = np.empty(len(order), bool)
+                known[order] = np.repeat(twice, last - cut + 1)
+                new = np.array([n not in shown for n in names[order[cut[twice]]].tolist()], bool)
+                shown.update(names[order[cut[twice]]].tolist())
+                witness = np.concatenate([order[cut[twice][new]], order[last[twice][new]]])
+                salt = np.where(known, 1 + (ids ^ start) % SALTS, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, y])) for x, y in ((ids, ids[witness]), (names, names[witness]), (span, np.full(len(witness), -1)), (salt.astype(np.int16), np.zeros(len(witness), np.int16)))], names=["doc_id", "name", "span", "salt"])
                 at = to
 
-    by = Window.partitionBy("name")
-    spans = rows.mapInArrow(name, "doc_id long, name long, span long").repartition("name").withColumns({"_x": F.min("doc_id").over(by), "_y": F.max("doc_id").over(by)})
+    by = Window.partitionBy("name", "salt")
+    spans = rows.mapInArrow(name, "doc_id long, name long, span long, salt short").repartition("name", "salt").withColumns({"_x": F.min("doc_id").over(by), "_y": F.max("doc_id").over(by)})
+    spans = spans.where(((F.col("_x") != F.col("_y")) | (F.col("salt") > 0)) & (F.col("span") >= 0))
     short = F.col("name").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
-    spans = spans.where(F.col("_x") != F.col("_y")).select("doc_id", "span", short.alias("name")).repartition("doc_id")
+    spans = spans.select("doc_id", "span", short.alias("name")).repartition("doc_id")
     spans = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"), F.collect_list("name").alias("names"))
 
     def send(batches):
+        best: dict[bytes, int] = {}
         for b in batches:
             ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
             text = np.repeat(np.arange(b.num_rows), np.diff(b.column(3).offsets.to_numpy()))
@@ -302,29 +327,34 @@ def intervals(rows: DataFrame, shards: int) -> DataFrame:
             start, windows = span >> 24, span & 255
             data, offsets = text_bytes(b.column(2))
             good = (span >> 8 & 0xFFFF == tags[text]) & (start + windows + LENGTH - 1 <= np.diff(offsets)[text])
-            sent = list(batch_segments(ids, tags, data, offsets, text[good], start[good], windows[good], names[good], shards))
+            sent = list(batch_segments(ids, tags, data, offsets, text[good], start[good], windows[good], names[good], shards, best))
             yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in sent], pa.int32()), pa.array([s[1] for s in sent], pa.binary()), pa.array([s[2] for s in sent], pa.binary())], names=["shard", "sent", "known"])
 
     joined = rows.join(spans, "doc_id").select("doc_id", "tag", "text", "spans", "names")
-    sent = joined.mapInArrow(send, "shard int, sent binary, known binary").repartition(shards, "shard")
+    sent = joined.mapInArrow(send, "shard int, sent binary, known binary").repartition(shards, "shard").sortWithinPartitions("shard")
 
     def judge(batches):
         def out(d, t, a, b):
             a = a.astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a << 32 | t.astype(np.int64) << 16 | (b - a))], names=["doc_id", "part"])
 
-        shards: dict[int, list] = {}
+        def done(blobs):
+            if blobs:
+                found = repeated(*(np.concatenate(x) for x in zip(*(_unpack(s, *SENT) for s in blobs), strict=True)))
+                for at in range(0, len(found[0]), 100_000):
+                    yield out(*(x[at : at + 100_000] for x in found))
+
+        here, blobs = None, []
         for b in batches:
             for shard, sent, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if known is not None:
                     yield out(*_unpack(known, "i8", "i4", "i4", "i4"))
-                else:
-                    shards.setdefault(shard, []).append(sent)
-        for blobs in shards.values():
-            arrays = [np.concatenate(x) for x in zip(*(_unpack(s, *SENT) for s in blobs), strict=True)]
-            found = repeated(*arrays)
-            for at in range(0, len(found[0]), 100_000):
-                yield out(*(x[at : at + 100_000] for x in found))
+                    continue
+                if shard != here:
+                    yield from done(blobs)
+                    here, blobs = shard, []
+                blobs.append(sent)
+        yield from done(blobs)
 
     return sent.mapInArrow(judge, "doc_id long, part long")
 
@@ -357,17 +387,30 @@ def cut(docs: DataFrame, shards: int | None = None) -> DataFrame:
     import pyarrow as pa
 
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    long = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
+    digests = written(long.select("doc_id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("digest")), "digests")
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(digests.agg(F.sum("n")).first()[0] or 0) // SHARD_BYTES))
+    # a number for each text of an identifier that has several
+    several = digests.groupBy("doc_id").agg(F.min("digest").alias("_d"), F.max("digest").alias("_e")).where(F.col("_d") != F.col("_e")).select("doc_id")
+    several = digests.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct()
+    several = written(several.withColumn("tag", (F.row_number().over(Window.partitionBy("doc_id").orderBy("digest")) % (1 << 16)).cast("int")), "digests-several")
+    alike = several.isEmpty()
+
+    def tagged(rows: DataFrame, digest) -> DataFrame:
+        if alike:
+            return rows.withColumn("tag", F.lit(0))
+        own = small(several.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d"), F.col("tag").alias("_t")))
+        return rows.join(own, (F.col("doc_id") == F.col("_id")) & (digest == F.col("_d")), "left").withColumn("tag", F.coalesce("_t", F.lit(0))).drop("_id", "_d", "_t")
+
+    docs, rows = (tagged(x, F.sha2("text", 256)).select("doc_id", "tag", "text") for x in (docs, long))
     # a copy of a whole smaller document goes as a whole and adds no string to what others are held against
-    digests = written(rows.select("doc_id", "tag", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("digest")), "digests")
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = written(digests.join(first, "digest").where(F.col("doc_id") > F.col("first")).select("doc_id", "tag", "n").distinct(), "copies")
+    first = written(digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("_y")).where(F.col("first") != F.col("_y")).select("digest", "first"), "digests-first")
+    copies = written(tagged(digests.join(small(first), "digest").where(F.col("doc_id") > F.col("first")), F.col("digest")).select("doc_id", "tag", "n").distinct(), "copies")
     rest = rows.join(small(copies.select("doc_id", "tag")), ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "text")
     runs = _merged(intervals(rest, shards).repartition("doc_id").sortWithinPartitions("doc_id", "part"))
     runs = runs.groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    runs = written(runs.union(copies.select("doc_id", "tag", F.array(F.lit(0)), F.array("n"))), "runs")
+    runs = written(runs.union(copies.select("doc_id", "tag", F.array(F.lit(0)), F.array(F.col("n").cast("int")))), "runs")
     bounded = runs.agg(F.coalesce(F.sum(F.size("a")), F.lit(0))).first()[0] <= 4_000_000
     rows = docs.join(small(runs) if bounded else runs, ["doc_id", "tag"], "left").select("doc_id", "text", "a", "b")
 
