@@ -36,6 +36,8 @@ FOOTER = struct.Struct("<QQQQQQI8s")
 RESTART, BLOCK_BYTES, END_ID = 16, 1 << 18, 1
 BITS_PER_KEY, PROBES = 10, 7
 CACHE_WORDS = 3_000_000
+#: Bytes of text a shard, and the least for which a session of many cores makes more shards.
+SHARD_BYTES, LEAST_BYTES = 128 << 20, 4 << 20
 DOC = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -188,7 +190,7 @@ class Encoder:
     before a full stop or comma that ends one after an ASCII letter), looked up by their
     64-bit hash, and encoded when first seen; words of letters alone are encoded many at
     a time and told apart by their word ends. Texts are encoded as a whole with any
-    other vocabulary.
+    other vocabulary, and with one that tells capitals from small letters.
     """
 
     def __init__(self, path: str):
@@ -198,7 +200,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.by_word = bool(self.ends.any())
+        letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+        lowers = self._each([c.upper() for c in letters]) == self._each(letters)
+        self.by_word = bool(self.ends.any()) and lowers
         self.forget()
 
     def forget(self) -> None:
@@ -318,7 +322,9 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [uri], "docs": [writer.docs], "tokens": [writer.tokens]}, schema=schema)
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES), min(8 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // LEAST_BYTES)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     return rows.mapInArrow(write, "shard int, path string, docs long, tokens long")
 
 
