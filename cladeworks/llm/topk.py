@@ -9,16 +9,18 @@ weights. Once the k-th best of the lower bounds excludes all but a few candidate
 (the proof; anything short of it goes on with the next segment), the ones that
 may belong to the best are scored exactly from the vectors.
 
-Queries and candidates meet in blocks of fixed size, each pair of blocks in a task
-of its own, and a window keeps the k best of the blocks' results. Rows go to
-blocks by a hash of their identifier, so no key decides a block's size.
+Queries and candidates meet in blocks of at most BLOCK rows, each pair of blocks in a
+task of its own that indexes its candidates once and takes the queries TILE at a time
+(fewer candidates a block where there would be too few tasks), and a window keeps the k
+best of the blocks' results. So each vector travels once per BLOCK rows of the other side.
+Rows go to blocks by a hash of their identifier, so no key decides a block's size.
 
 Defined results: a vector that is null, or has a null, NaN or infinite component,
 takes no part; vectors of unequal lengths meet as if filled up with zeros; ties go
 to the smaller identifier; rows with the query's own identifier are no candidates;
 rows that repeat an identifier are candidates of their own, and as queries share
 that identifier's one list; null identifiers take
-no part; an empty table gives no rows.
+no part; an empty table gives no rows; scores are exact, and beyond the range of a long its ends.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql.window import Window
 
 from .common import table
 
-QUERY_BLOCK, BLOCK, SEGMENTS, FEW = 512, 8192, 6, 64
+BLOCK, LEAST, TILE, SEGMENTS, FEW = 65_536, 2048, 256, 6, 64
 
 
 def quantised(vector: Column, scale: float = 64.0) -> Column:
@@ -56,7 +58,12 @@ class Index:
     def search(self, queries: np.ndarray, k: int, skip: np.ndarray, few: int = FEW):
         """Per query the numbers of all candidates that may be among the k best, with exact scores. ``skip``: pairs that don't count."""
         n, d = self.vectors.shape
-        exact = np.float32 if int(np.abs(queries).sum(1).max(initial=0)) * int(np.abs(self.vectors).max(initial=0)) < 1 << 24 else np.float64
+        # Python's own numbers: the largest score that may occur
+        bound = max((sum(map(abs, q)) for q in queries.tolist()), default=0) * max(int(self.vectors.max(initial=0)), -int(self.vectors.min(initial=0)))
+        if bound >= 1 << 53:
+            yield from self._search_whole(queries, k, skip)
+            return
+        exact = np.float32 if bound < 1 << 24 else np.float64
         weights = queries.astype(exact)
         rising, falling = np.maximum(weights, 0), np.minimum(weights, 0)
         score = np.zeros((len(queries), n), exact)
@@ -87,6 +94,13 @@ class Index:
             numbers = np.empty(0, np.int64) if numbers is None else numbers
             yield q, numbers, self.vectors[numbers] @ queries[q]
 
+    def _search_whole(self, queries: np.ndarray, k: int, skip: np.ndarray):
+        """The same for components too large for floating point: all scores as whole numbers of any size."""
+        vectors, low, high = self.vectors.astype(object), np.iinfo(np.int64).min, np.iinfo(np.int64).max
+        for q, query in enumerate(queries.astype(object)):
+            numbers = np.flatnonzero(~skip[q])
+            yield q, numbers, np.array([min(max(x, low), high) for x in vectors[numbers] @ query], np.int64)
+
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best. Both have columns vec_id and v (whole numbers); see :func:`quantised`."""
@@ -94,8 +108,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     vectors = vectors.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", "v")
     queries = queries.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", "v").distinct()
-    blocks = max(1, -(-vectors.count() // BLOCK))
-    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    rows = vectors.count()
+    tasks = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-rows // BLOCK), min(tasks, -(-rows // LEAST)))
+    query_blocks = max(1, -(-queries.count() // BLOCK))
     side = lambda df, own, n_own, other, n_other: df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(n_own)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
     left = side(queries, "q", query_blocks, "c", blocks)
     right = side(vectors, "c", blocks, "q", query_blocks)
@@ -107,10 +123,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         fill = lambda rows: np.array([np.pad(np.asarray(v, np.int64), (0, width - len(v))) for v in rows])
         whole = lambda rows: np.stack(rows.to_numpy()).astype(np.int64) if all(len(v) == width for v in rows) else fill(rows)
         q_ids, c_ids = qs["vec_id"].to_numpy(np.int64), cs["vec_id"].to_numpy(np.int64)
-        q, c, out = whole(qs["v"]), whole(cs["v"]), []
-        for i, numbers, scores in Index(c).search(q, k, q_ids[:, None] == c_ids[None, :]):
-            best = np.lexsort((c_ids[numbers], -scores))[:k]
-            out.append((np.full(len(best), q_ids[i]), c_ids[numbers][best], scores[best]))
+        q, index, out = whole(qs["v"]), Index(whole(cs["v"])), []
+        for at in range(0, len(q), TILE):
+            own = q_ids[at : at + TILE]
+            for i, numbers, scores in index.search(q[at : at + TILE], k, own[:, None] == c_ids[None, :]):
+                # -1 - x, as a long's lowest number has no opposite
+                best = np.lexsort((c_ids[numbers], -1 - scores))[:k]
+                out.append((np.full(len(best), own[i]), c_ids[numbers][best], scores[best]))
         return pd.DataFrame({n: np.concatenate(x) for n, x in zip(("query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
 
     pairs = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(search, "query_id long, vec_id long, score long")
