@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every document has an expected number of copies. Its whole part is certain.
-For the fraction f that is left, documents of a source are ranked by
-random odds over inclusion odds, (u / (1 - u)) / (f / (1 - f)), and the first
+Every document has an expected number of copies, that is its source's share of the
+target by size times the document's importance (1 unless the caller gives a column), at
+most ``cap``. Its whole part is certain. For the fraction f that is left, which differs
+between documents of unequal importance, documents of a source are ranked by random odds over inclusion odds, (u / (1 - u)) / (f / (1 - f)), and the first
 ones are taken until the source's target is filled (fixed-size unequal
 probability sampling after Rosen). ``u`` is a hash of the identifier, so reruns
 agree.
@@ -14,7 +15,8 @@ rows is therefore two small sums and a few rows to sort.
 
 Defined results: null or empty text has size 0 and 0 taken words; null source is
 a source of its own, last in order; null identifiers hash as the empty string;
-rows with the same identifier in one source are taken or left together; an empty
+rows with the same identifier in one source are taken or left together; an importance
+that is null, not finite or below 0 counts as 0, and a source without any takes nothing; an empty
 table gives no rows; extra columns are kept by :func:`mixed` whatever their names.
 """
 
@@ -63,21 +65,47 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: flo
     return levels.withColumn("target", F.coalesce(F.least(F.col("_cap").cast("double"), level * F.col("_w")), F.col("_cap").cast("double"))).select("_key", "source", "source_size", "target")
 
 
-def _facts(docs: DataFrame, seed: str) -> DataFrame:
-    """What the sampling needs of each row: _id, _key, _source, _size and the random number _u in (0, 1)."""
+def _facts(docs: DataFrame, seed: str, importance: Column | None) -> DataFrame:
+    """What the sampling needs of each row: _id, _key, _source, _size, its importance _w and the random number _u in (0, 1)."""
     digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13)
     u = (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
-    return docs.withColumns({"_id": F.col("doc_id"), "_key": source_key(F.col("source")), "_source": F.col("source"), "_size": words(F.col("text")), "_u": u})
+    weight = F.lit(1.0)
+    if importance is not None:
+        given = importance.cast("double")
+        weight = F.when((given > 0) & ~F.isnan(given) & (given < float("inf")), given).otherwise(0.0)
+    return docs.withColumns({"_id": F.col("doc_id"), "_key": source_key(F.col("source")), "_source": F.col("source"), "_size": words(F.col("text")), "_w": weight, "_u": u})
+
+
+def _expected(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+    """Adds what is known of a row's source, the whole copies _whole and the fraction _f."""
+    expected = F.when(F.col("_w") > 0, F.least(F.col("_most"), F.col("_lambda") * F.col("_w"))).otherwise(0.0)
+    rows = rows.join(small(by_source), "_key").withColumn("_e", expected)
+    return rows.withColumns({"_whole": F.floor("_e"), "_f": F.col("_e") - F.floor("_e")}).drop("_e")
 
 
 def _ranked(rows: DataFrame, by_source: DataFrame) -> DataFrame:
     """Adds the Pareto rank _p in (0, 1) (null: no fraction to fill, or no words) and its bucket _b."""
     odds = (F.col("_u") / (F.lit(1.0) - F.col("_u"))) / (F.col("_f") / (F.lit(1.0) - F.col("_f")))
     rank = F.when((F.col("_f") > 0) & (F.col("_size") > 0), odds / (F.lit(1.0) + odds))
-    rows = rows.join(small(by_source), "_key").withColumn("_p", rank)
+    rows = _expected(rows, by_source).withColumn("_p", rank)
     return rows.withColumn("_b", F.least(F.floor(F.col("_p") * (LEVEL * LEVEL)), F.lit(LEVEL * LEVEL - 1)))
 
 
+def _levels(facts: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
+    """Adds _lambda, the copies of a document of importance 1, to sources: that at which each meets its target with no document
+    above ``cap``. Each round sums what isn't capped yet; capped documents stay so, and rounds end when none is added."""
+    level = sources.withColumn("_lambda", F.lit(0.0))
+    while True:
+        above = F.col("_lambda") * F.col("_w") >= cap
+        free = F.sum(F.when(~above, F.col("_w") * F.col("_size")).otherwise(0.0))
+        held = F.sum(F.when(above, F.col("_size")).otherwise(0)) * cap
+        sums = facts.join(small(level.select("_key", "_lambda")), "_key").groupBy("_key").agg(free.alias("_free"), held.alias("_held"), F.count_if(above).alias("_n"))
+        new = F.when(F.col("_free") > 0, F.greatest(F.lit(0.0), F.col("target") - F.col("_held")) / F.col("_free")).otherwise(F.col("_lambda"))
+        level = written(sources.join(level.select("_key", F.col("_lambda")), "_key").join(sums, "_key").select(*sources.columns, F.greatest("_lambda", new).alias("_lambda"), F.col("_lambda").alias("_old")), "mix-levels")
+        if level.where(F.col("_lambda") > F.col("_old") * (1 + 1e-12)).isEmpty():
+            return level.drop("_old")
+
+
 def _reached(rows: DataFrame, by: str) -> DataFrame:
     """Per source the first bucket ``by`` at whose end more than _rest words are taken, and the words _done before it."""
     sums = rows.groupBy("_key", "_rest", "_done", by).agg(F.sum("_size").alias("_s"))
@@ -86,13 +114,20 @@ def _reached(rows: DataFrame, by: str) -> DataFrame:
     return written(ends.where(F.col("_end") > F.col("_rest")).groupBy("_key").agg(first).select("_key", F.col("_x")[by].alias(by), F.col("_x._next").alias("_done")), "mix-cut")
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, cap: int = 3, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
-    """The two small tables that decide every row: target, whole copies and fraction per source; the last rank taken per source."""
-    facts = written(_facts(docs.select("doc_id", "source", "text"), seed).select("_id", "_key", "_source", "_size", "_u"), "mix-sizes")
+def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, cap: int = 3, seed: str = "mix", importance: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two small tables that decide every row: target, level of copies and words left to fill per source; the last rank taken per source."""
+    own = docs.select("doc_id", "source", "text", *([] if importance is None else [importance.alias("_i")]))
+    facts = written(_facts(own, seed, None if importance is None else F.col("_i")).select("_id", "_key", "_source", "_size", "_w", "_u"), "mix-sizes")
     sums = facts.groupBy("_key").agg(F.first("_source").alias("source"), F.sum("_size").alias("source_size"))
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = targets(sums, weights, share, cap).withColumn("_whole", F.floor(ratio)).withColumn("_f", ratio - F.col("_whole"))
-    by_source = written(whole.select("_key", "source_size", "target", "_whole", "_f", (F.col("target") - F.col("_whole") * F.col("source_size")).alias("_rest")), "mix-sources")
+    aims = targets(sums, weights, share, cap)
+    if importance is None:
+        ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+        levels = aims.withColumn("_lambda", ratio).withColumn("_rest", F.col("target") - F.floor("_lambda") * F.col("source_size"))
+    else:
+        levels = _levels(facts, written(aims, "mix-aims"), cap)
+        certain = _expected(facts, levels.withColumn("_most", F.lit(float(cap)))).groupBy("_key").agg(F.sum(F.col("_whole") * F.col("_size")).alias("_sure"))
+        levels = levels.join(certain, "_key").withColumn("_rest", F.col("target") - F.col("_sure"))
+    by_source = written(levels.select("_key", "source_size", "target", "_lambda", "_rest", F.lit(float(cap)).alias("_most")), "mix-sources")
     part = _ranked(facts, by_source).where(F.col("_b").isNotNull()).select("_key", "_rest", "_size", "_p", "_id", "_b", F.floor(F.col("_b") / LEVEL).alias("_b1"))
     coarse = _reached(part.withColumn("_done", F.lit(0).cast("long")), "_b1")
     fine = _reached(part.join(small(coarse), ["_key", "_b1"]), "_b")
@@ -111,14 +146,18 @@ def _copies(rows: DataFrame, by_source: DataFrame, cut: DataFrame) -> DataFrame:
 def decide(docs: DataFrame, **how) -> DataFrame:
     """One row per document row: doc_id, size, source_size, target, taken (size times copies), copies."""
     by_source, cut = plan(docs, **how)
-    rows = _facts(docs.select("doc_id", "source", "text"), how.get("seed", "mix")).select("_id", "_key", "_size", "_u")
+    given = how.get("importance")
+    own = docs.select("doc_id", "source", "text", *([] if given is None else [given.alias("_i")]))
+    rows = _facts(own, how.get("seed", "mix"), None if given is None else F.col("_i")).select("_id", "_key", "_size", "_w", "_u")
     return _copies(rows, by_source, cut).select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"))
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with the same columns."""
     by_source, cut = plan(docs, **how)
-    rows = _facts(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), how.get("seed", "mix")).select("_row", "_id", "_key", "_size", "_u")
+    given = how.get("importance")
+    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text", *([] if given is None else [given.alias("_i")]))
+    rows = _facts(packed, how.get("seed", "mix"), None if given is None else F.col("_i")).select("_row", "_id", "_key", "_size", "_w", "_u")
     taken = _copies(rows, by_source, cut).where(F.col("_copies") > 0)
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_n")).select("_row.*")
 
