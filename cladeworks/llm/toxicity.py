@@ -9,8 +9,9 @@ nothing.
 
 Words and word beginnings of the restored text are weighed by the log-odds of their
 presence in toxic texts of the training rows; a logistic curve turns a text's weights
-into a score. The weights come from one half of a bounded sample of labelled training
-rows (``sample``, the rows of smallest hash), the curve from the other half.
+into a score. The weights come from a bounded sample of labelled training rows (``sample``,
+the rows of smallest hash); the curve is fitted to each half of it under weights of the
+other half, so that it has seen weights only on texts they don't come from.
 
 Defined results: null or empty text scores as a text without evidence; a null
 identifier counts as the empty string in the split; repeated rows are scored each;
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
-SAMPLE, FEATURES, THRESHOLD = 20_000, 20_000, 0.3
+SAMPLE, THRESHOLD = 20_000, 0.3
 ALPHABET = 64
 FIRST_ACCENTED, LAST_ACCENTED = 0xDF, 0xFF
 OTHER = 27 + LAST_ACCENTED - FIRST_ACCENTED + 1
@@ -131,8 +132,8 @@ class Channel:
 
 
 def features(word: str) -> list[str]:
-    """The word and its beginnings of 4 to 6 letters."""
-    return [word, *(f"{word[:k]}-" for k in (4, 5, 6) if len(word) > k)]
+    """The word and its beginnings of 4 to 8 letters."""
+    return [word, *(f"{word[:k]}-" for k in range(4, 9) if len(word) > k)]
 
 
 class Reader:
@@ -217,42 +218,54 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     rows = written(rows.select("text", "toxic", (F.pmod("_h", F.lit(2)) == 0).alias("half")), "toxic-sample")
 
     def presence(batches):
-        reader, seen = Reader(Channel(counts), lambda words: [f for w in words for f in features(w)]), (Counter(), Counter())
+        reader, seen = Reader(Channel(counts), lambda words: [f for w in words for f in features(w)]), {(h, y): Counter() for h in (False, True) for y in (False, True)}
         for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen[toxic > 0].update({f for fs in reader.read(text) for f in fs})
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_pydict({"f": names, "n0": [seen[0][f] for f in names], "n1": [seen[1][f] for f in names]}, schema=pa.schema([("f", pa.string()), ("n0", pa.int64()), ("n1", pa.int64())]))
+            for text, toxic, half in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                seen[half, toxic > 0].update({f for fs in reader.read(text) for f in fs})
+        names = list(set().union(*seen.values()))
+        kinds = {f"{'b' if h else 'a'}{int(y)}": c for (h, y), c in seen.items()}
+        yield pa.RecordBatch.from_pydict({"f": names} | {k: [c[f] for f in names] for k, c in kinds.items()}, schema=pa.schema([("f", pa.string()), *((k, pa.int64()) for k in kinds)]))
 
     n = {bool(r.half): (r.n, r.n1) for r in rows.groupBy("half").agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).collect()}
-    (n_a, a1), (n_b, b1) = n.get(True, (0, 0)), n.get(False, (0, 0))
+    (n_a, a1), (n_b, b1) = n.get(False, (0, 0)), n.get(True, (0, 0))
     if not (0 < a1 < n_a and 0 < b1 < n_b):
         return None
-    weight = F.log((F.col("n1") + 0.5) / (a1 + 1.0)) - F.log((F.col("n0") + 0.5) / (n_a - a1 + 1.0))
-    seen = rows.where("half").select("text", "toxic").mapInArrow(presence, "f string, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # likelihood ratio against "as frequent in either kind", held against the many words that are tried
-    expected = (F.col("n0") + F.col("n1")) * (a1 / n_a)
-    ratio = 2 * (F.col("n1") * F.log(F.col("n1") / expected) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / (F.col("n0") + F.col("n1") - expected))).otherwise(0.0))
-    top = seen.withColumn("w", weight).where((F.col("w") >= 2.0) & (ratio >= 1.2 * math.log(100.0 * n_a))).orderBy(F.col("w").desc(), F.col("n1").desc(), "f").limit(FEATURES)
-    weights = {r.f: r.w for r in top.select("f", "w").collect()}
+    kinds = ("a0", "a1", "b0", "b1")
+    seen = rows.select("text", "toxic", "half").mapInArrow(presence, "f string, a0 long, a1 long, b0 long, b1 long").groupBy("f").agg(*(F.sum(k).alias(k) for k in kinds))
+
+    def weight(n0: Column, n1: Column, total: int, toxic: int) -> Column:
+        """Log-odds of a word in toxic texts; 0 where it may be as frequent in either kind, given how many words are tried."""
+        odds = F.log((n1 + 0.5) / (toxic + 1.0)) - F.log((n0 + 0.5) / (total - toxic + 1.0))
+        expected = (n0 + n1) * (toxic / total)
+        ratio = 2 * (n1 * F.log(n1 / expected) + F.when(n0 > 0, n0 * F.log(n0 / (n0 + n1 - expected))).otherwise(0.0))
+        return F.when((n1 > 0) & (odds >= 2.0) & (ratio >= 1.2 * math.log(100.0 * total)), odds).otherwise(0.0)
+
+    a0, a1_, b0, b1_ = (F.col(k) for k in kinds)
+    ways = {"a": weight(a0, a1_, n_a, a1), "b": weight(b0, b1_, n_b, b1), "all": weight(a0 + b0, a1_ + b1_, n_a + n_b, a1 + b1)}
+    # as many at most as words pass that test in the sample
+    kept = seen.select("f", *(w.alias(k) for k, w in ways.items())).where(F.greatest("a", "b", "all") > 0).collect()
+    weights = {k: {r.f: r[k] for r in kept if r[k] > 0} for k in ways}
 
     def summaries(batches):
-        reader = Reader(Channel(counts), _evidence(weights))
+        channel = Channel(counts)
+        # under the weights of the other half
+        readers = {True: Reader(channel, _evidence(weights["a"])), False: Reader(channel, _evidence(weights["b"]))}
         for b in batches:
-            x = [summary(reader.read(t)) for t in b.column(0).to_pylist()]
+            x = [summary(readers[half].read(t)) for t, half in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in x], pa.float64()) for k in range(3)), b.column(1).cast(pa.int32())], names=["a", "b", "c", "toxic"])
 
-    seen = np.array(rows.where("not half").select("text", "toxic").mapInArrow(summaries, "a double, b double, c double, toxic int").collect(), float)
-    return counts, weights, _fit_curve(seen[:, :3], (seen[:, 3] > 0).astype(float))
+    seen = np.array(rows.select("text", "toxic", "half").mapInArrow(summaries, "a double, b double, c double, toxic int").collect(), float)
+    return counts, weights["all"], _fit_curve(seen[:, :3], (seen[:, 3] > 0).astype(float))
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with a column ``_score``; other columns as they are."""
+    """Column ``_row`` with the rows of ``docs`` as they are, and their ``_score``."""
     import pyarrow as pa
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     model = fit(docs, labels, sample)
-    where, schema = docs.columns.index("text"), StructType([*docs.schema.fields, StructField("_score", DoubleType())])
+    rows = docs.select(F.struct("*").alias("_row"), "text")
+    schema = StructType([rows.schema["_row"], StructField("_score", DoubleType())])
 
     def score(batches):
         counts, weights, curve = model or (np.zeros(ALPHABET**3, np.int64), {}, None)
@@ -261,19 +274,19 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
             if curve is None:
                 p = np.zeros(b.num_rows)
             else:
-                x = np.array([summary(reader.read(t)) for t in b.column(where).to_pylist()], float).reshape(-1, 3)
+                x = np.array([summary(reader.read(t)) for t in b.column(1).to_pylist()], float).reshape(-1, 3)
                 p = 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], names=["_row", "_score"])
 
-    return docs.mapInArrow(score, schema)
+    return rows.mapInArrow(score, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with the same columns."""
-    return scored(docs, labels).where(F.col("_score") < threshold).drop("_score")
+    return scored(docs, labels).where(F.col("_score") < threshold).select("_row.*")
 
 
 def op9_noisy_channel_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = scored(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    return rows.select("_row.doc_id", held_out(F.col("_row.doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
