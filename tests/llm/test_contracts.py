@@ -354,7 +354,7 @@ def test_toxicity_scores(spark):
         labels.append((i, int(toxic)))
     docs = spark.createDataFrame([*rows, (1000, None), (1001, ""), (None, "numskull vilebag"), (1002, "a v1lebag and a numsku||")], "doc_id long, text string")
     df = toxicity.scored(docs, spark.createDataFrame([*labels, (None, 1), (5, None)], "doc_id long, toxic int"))
-    scores = {r.doc_id: r._score for r in df.collect()}
+    scores = {r._row.doc_id: r._score for r in df.collect()}
     held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert all((scores[i] >= 0.3) == (i % 6 == 0) for i in held) and scores[1000] == scores[1001] < 0.3 and scores[None] >= 0.3
     nothing = toxicity.scored(docs, spark.createDataFrame([], "doc_id long, toxic int"))
