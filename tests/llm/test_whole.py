@@ -18,12 +18,12 @@ def test_sign_passes_nothing_over(spark):
 
 def test_forms_without_room_get_longer_surrogates(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "ROUNDS", 2)
-    names = [a + b + c for a in "BCDFGLMN" for b in "aeiou" for c in "bdfgx"]  # 200 names, 85 surrogates
+    names = [a + b + c + d for a in "BCDFGLMN" for b in "aeiou" for c in "bdfgx" for d in "aeiou"]  # 1,000 family names, of a stem and an ending 360 surrogates
     df = spark.createDataFrame([(k, f"Mrs {n} was here") for k, n in enumerate(names)], "doc_id long, text string")
     found = [r.t for r in surrogates.rewritten(df).select(F.col("_text").alias("t")).collect()]
     new = [t.split()[1] for t in found]
     assert len(new) == len(names) == len(set(new)) and not set(new) & set(names)
-    assert all(n.istitle() and n[-1] == "a" and t.endswith(" was here") for n, t in zip(new, found, strict=True))
+    assert all(n.istitle() and t.endswith(" was here") for n, t in zip(new, found, strict=True))
     shown = spark.createDataFrame([("A.b@c.org", "email", "xyabcorg"), ("12-34", "phone", "567890"), ("LEE", "name", "bodcca")], "v string, k string, n string")
     assert [r[0] for r in shown.select(surrogates.rendered(F.col("v"), F.col("k"), F.col("n"))).collect()] == ["xyA.b@c.org", "56-7890", "BODCCA"]
 
