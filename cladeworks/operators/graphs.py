@@ -12,32 +12,51 @@ from pyspark.sql.window import Window
 
 
 def cut_lineage(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back."""
+    """``df`` written to the shared checkpoint folder and read back.
+
+    Where a session names none, that is a folder below the warehouse, which all executors share too; a session on one
+    machine takes a temporary folder.
+    """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
+    if not base and spark.sparkContext.master.startswith("local"):
         base = "file://" + tempfile.mkdtemp(prefix="cladeworks-")
         spark.sparkContext.setCheckpointDir(base)
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     path = f"{base.rstrip('/')}/cladeworks/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """node, component (its smallest node): label propagation with pointer jumping; written after each round."""
-    both = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).union(edges.select("dst", "src")).distinct()
-    both = cut_lineage(both, "links")
-    labels = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("l")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels, both["b"] == labels["a"]).groupBy(both["a"]).agg(F.min("l").alias("m"))
-        met = labels.join(near, "a").select("a", F.least("l", "m").alias("l"), F.col("l").alias("old"))
-        met = cut_lineage(met, "labels")
-        jump = met.alias("x").join(met.alias("y"), F.col("x.l") == F.col("y.a"), "left")
-        new = cut_lineage(jump.select(F.col("x.a").alias("a"), F.least(F.col("x.l"), F.coalesce("y.l", "x.l")).alias("l"), F.col("x.old").alias("old")), "labels")
-        labels = new.select("a", "l")
-        if new.where(F.col("l") != F.col("old")).isEmpty():
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Links each node's larger (large star) or smaller (small star) neighbours to the smallest one, itself included."""
+    if large:
+        both = edges.union(edges.select("b", "a"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a")
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node) of all nodes of ``edges`` (src, dst), by alternating large and small stars.
+
+    A round is a map-side combined minimum per node and one join with the edges, so a node with very many neighbours is
+    one row on one side of a join whose other side Spark splits. Rounds end when the edges no longer change, after a
+    number that grows with the logarithm of the nodes; each is written to the shared folder.
+    """
+    ordered = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    links, seen = cut_lineage(ordered(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))), "star"), None
+    while True:
+        links = cut_lineage(ordered(_star(ordered(_star(links, True)), False)), "star")
+        now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if now == seen:
             break
-    return labels.select(F.col("a").alias("node"), F.col("l").alias("component"))
+        seen = now
+    found = nodes.join(links, nodes["node"] == links["a"], "left")
+    return found.select("node", F.coalesce("b", "node").alias("component"))
 
 
 #: Markov clustering, dense and as a table alike: entries below PRUNE of their column's largest are dropped, rounds end when no entry moves by SETTLED.
@@ -124,10 +143,20 @@ def with_enough_taxa(clusters: DataFrame, taxon, least: int = 4) -> DataFrame:
 
 
 def cluster_number(clusters: DataFrame) -> DataFrame:
-    """cluster, size, number (from 1 by size, then smallest member) and a six-digit identifier."""
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    number = F.row_number().over(Window.orderBy(F.col("size").desc(), "cluster"))
-    return sizes.withColumn("number", number).withColumn("cluster_id", F.lpad(F.col("number").cast("string"), 6, "0"))
+    """cluster, size, number (from 1 by size, then smallest member) and a six-digit identifier.
+
+    Rows are dealt by ranges of that order, and each range is numbered in a task of its own behind the count of all ranges
+    before it.
+    """
+    sizes = cut_lineage(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
+    order = [F.col("size").desc(), F.col("cluster")]
+    ranged = cut_lineage(sizes.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.join(counts.select("_part", before.alias("_before")), "_part")
+    number = (F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_before")).cast("int")
+    numbered = placed.select("cluster", "size", number.alias("number"))
+    return numbered.withColumn("cluster_id", F.lpad(F.col("number").cast("string"), F.greatest(F.lit(6), F.length(F.col("number").cast("string"))), "0"))
 
 
 def unclustered(sequences: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -145,19 +174,16 @@ def pair_sets(pairs: DataFrame) -> DataFrame:
 
 
 def combine_results(pairs: DataFrame) -> DataFrame:
-    """seq_id, cluster: chains of representatives followed to their end (pairs of all runs: query member, target representative)."""
-    links = pairs.where(F.col("query") != F.col("target")).groupBy("query").agg(F.min("target").alias("target"))
-    links = cut_lineage(links, "chain")
-    for _ in range(64):
-        a, b = links.alias("a"), links.alias("b")
-        new = a.join(b, F.col("a.target") == F.col("b.query"), "left").select(F.col("a.query").alias("query"), F.coalesce("b.target", "a.target").alias("target"), F.col("b.target").isNotNull().alias("_moved"))
-        new = cut_lineage(new, "chain")
-        moved = not new.where("_moved").isEmpty()
-        links = new.select("query", "target")
-        if not moved:
-            break
-    ends = links.select(F.col("query").alias("seq_id"), F.col("target").alias("cluster"))
-    return ends.union(links.select(F.col("target").alias("seq_id"), F.col("target").alias("cluster")).distinct())
+    """seq_id, cluster: chains of representatives followed to their end (pairs of all runs: query member, target representative).
+
+    A cluster is named by the end of its chain, the smallest one where a member's representatives lead to several, and by
+    its smallest member where representatives go round in a circle.
+    """
+    links = pairs.select(F.col("query").alias("src"), F.col("target").alias("dst"))
+    parts = cut_lineage(components(links), "chain")
+    ends = parts.join(links.where(F.col("src") != F.col("dst")).select(F.col("src").alias("node")), "node", "left_anti")
+    named = ends.groupBy("component").agg(F.min("node").alias("cluster"))
+    return parts.join(named, "component", "left").select(F.col("node").alias("seq_id"), F.coalesce("cluster", "component").alias("cluster"))
 
 
 def hierarchy_metrics(sequences: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -155,8 +155,8 @@ def distance_trees(rows: DataFrame, replicates: int = 0, protein: bool = False,
     return rows.select("aln_id", "seq_id", "row").groupBy("aln_id").applyInPandas(run, "tree_id string, newick string")
 
 
-def species_distances(trees: DataFrame) -> DataFrame:
-    """a, b, d: mean number of inner nodes between two taxa over all gene trees, the mean per tree first."""
+def species_distances(trees: DataFrame, whole: bool = False) -> DataFrame:
+    """a, b, d: mean number of inner nodes between two taxa over all gene trees, the mean per tree first. ``whole`` labels are taxa."""
     import pandas as pd
 
     def run(frames):
@@ -170,7 +170,7 @@ def species_distances(trees: DataFrame) -> DataFrame:
                 below: dict[int, list[tuple[str, int]]] = {}
                 for clade, _ in root.walk():
                     if clade.tip:
-                        below[id(clade)] = [(tr.taxon(clade.label), 0)]
+                        below[id(clade)] = [(clade.label if whole else tr.taxon(clade.label), 0)]
                         continue
                     parts = [below.pop(id(p)) for p in clade.parts]
                     for i in range(len(parts)):
@@ -184,17 +184,11 @@ def species_distances(trees: DataFrame) -> DataFrame:
 
 
 def species_tree(trees: DataFrame) -> str:
-    """Newick of the species tree by neighbour joining of :func:`species_distances`. The table read has a row per pair of taxa."""
-    import numpy as np
+    """Newick of the species tree by neighbour joining of :func:`species_distances`, a row a pair of taxa."""
+    from .species import joined_tree
 
-    rows = species_distances(trees).collect()
-    names = sorted({r.a for r in rows} | {r.b for r in rows})
-    d = np.full((len(names), len(names)), max((r.d for r in rows), default=0.0))
-    np.fill_diagonal(d, 0)
-    for r in rows:
-        i, j = names.index(r.a), names.index(r.b)
-        d[i, j] = d[j, i] = r.d
-    return tr.text(ph.neighbor_joining(names, d)) if names else ";"
+    root = joined_tree(species_distances(trees))
+    return tr.text(root) if root else ";"
 
 
 def branch_observations(species: str, trees: DataFrame, least_support: float = 0.0) -> DataFrame:
@@ -204,7 +198,7 @@ def branch_observations(species: str, trees: DataFrame, least_support: float = 0
 
     def run(frames):
         bits: dict[str, int] = {}
-        root = tr.parse(species, lenient=True)
+        root = tr.opened(tr.parse(species, lenient=True))
         wanted = [(f"B{k}", s) for k, (_, s) in enumerate(tr.splits(root, bits))]
         for frame in frames:
             out = []
@@ -229,15 +223,95 @@ def branch_observations(species: str, trees: DataFrame, least_support: float = 0
     return trees.select("tree_id", "newick").mapInPandas(run, "branch_id string, gene_tree_id string, length double")
 
 
-def centroids(sequences: DataFrame, identity: float = 0.9) -> DataFrame:
-    """node, query, target: greedy centroid clusters of the sequences of each node."""
+def _grams(texts: DataFrame, q: int) -> DataFrame:
+    """n (number of a text), gram: a hash of each word of q letters and of how often the text has had it before."""
     import pandas as pd
+    import numpy as np
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = ph.greedy_centroids(dict(zip(frame["seq_id"], frame["sequence"], strict=True)), identity)
-        return pd.DataFrame({"node": frame["node"].iloc[0], "query": list(found), "target": list(found.values())})
+    def run(frames):
+        for frame in frames:
+            numbers, grams = [], []
+            for n, text in zip(frame["n"], frame["sequence"], strict=True):
+                x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+                code = np.zeros(max(len(x) - q + 1, 0), np.uint64)
+                for k in range(q):
+                    code = code * np.uint64(0x5851F42D4C957F2D) + x[k : k + len(code)] + np.uint64(1)
+                code.sort()
+                new = np.ones(len(code), bool)
+                new[1:] = code[1:] != code[:-1]
+                nth = np.arange(len(code)) - np.maximum.accumulate(np.where(new, np.arange(len(code)), 0))
+                grams.append((code * np.uint64(0x2545F4914F6CDD1D) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+                numbers.append(np.full(len(code), n))
+            if grams:
+                yield pd.DataFrame({"n": np.concatenate(numbers), "gram": np.concatenate(grams)})
+
+    return texts.select("n", "sequence").mapInPandas(run, "n long, gram long")
 
-    return sequences.select("node", "seq_id", "sequence").groupBy("node").applyInPandas(run, "node string, query string, target string")
+
+def centroids(sequences: DataFrame, identity: float = 0.9) -> DataFrame:
+    """node, query, target: greedy centroid clusters of the sequences of each node. Longest first (then by name), a sequence
+    goes to the first centroid whose edits leave that identity, else it is a centroid itself.
+
+    Nothing is compared node by node. d edits leave a text of l letters at least l - q + 1 - d * q of its words of q letters,
+    so two near texts share one of the d * q + 1 words of either that the fewest texts have; texts meet by these words.
+    A text that is the first in each of its words is a centroid, and takes the texts it is near to. Only what is left over is
+    compared pair by pair, and of it, round by round, the texts that no earlier near one is left of become centroids.
+    Last, all members are held against the centroids found on the way, as a member belongs to its first one.
+    """
+    from .graphs import cut_lineage
+
+    q = max(1, min(8, int(0.5 / max(1 - identity, 1e-9))))
+    edits = lambda size: F.floor(F.lit(1 - identity) * size + 1e-9)
+    rank = F.struct((-F.length("sequence")).alias("size"), F.col("seq_id").alias("name"))
+    texts = sequences.groupBy("node", "sequence").agg(F.min("seq_id").alias("seq_id"))
+    texts = cut_lineage(texts.select(F.xxhash64("node", "seq_id").alias("n"), "node", "seq_id", "sequence", rank.alias("rank")), "texts")
+    words = cut_lineage(_grams(texts, q).join(texts.select("n", "node"), "n"), "grams")
+    held = words.join(words.groupBy("node", "gram").agg(F.count("*").alias("_f")).where(F.col("_f") > 1), ["node", "gram"])
+    own = texts.select("n", "rank", (edits(F.length("sequence")) * q + 1).alias("_few"), (F.length("sequence") - q + 1).alias("_all"))
+    order = Window.partitionBy("n").orderBy("_f", "gram")
+    held = held.join(own, "n").withColumns({"_r": F.row_number().over(order), "_h": F.count("*").over(Window.partitionBy("n"))})
+    # words that no other text has come first
+    blocks = cut_lineage(held.where(F.col("_r") + F.col("_all") - F.col("_h") <= F.col("_few")).select("node", "gram", "n", "rank"), "blocks")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """a, b of the pairs that leave the identity; b comes first."""
+        left = texts.select(F.col("n").alias("a"), F.col("sequence").alias("_x"))
+        right = texts.select(F.col("n").alias("b"), F.col("sequence").alias("_y"))
+        both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").where(F.length("_y") - F.length("_x") <= edits(F.length("_x")))
+
+        def run(frames):
+            for frame in frames:
+                for _, group in frame.groupby("a"):
+                    x = group["_x"].iloc[0]
+                    keep = ph.edit_distances(x, group["_y"].tolist()) <= (1 - identity) * len(x) + 1e-9
+                    yield group[["a", "b"]][keep]
+
+        return cut_lineage(both.mapInPandas(run, "a long, b long"), "near")
+
+    first = blocks.groupBy("node", "gram").agg(F.min("rank").alias("_first"), F.min_by("n", "rank").alias("b"))
+    placed = blocks.join(first, ["node", "gram"])
+    led = placed.groupBy("n").agg(F.min(F.col("_first.name") == F.col("rank.name")).alias("_own"))
+    heads = cut_lineage(texts.select("n").join(led.where(~F.col("_own")), "n", "left_anti"), "heads")
+    taken = near(placed.join(heads.select(F.col("n").alias("b")), "b", "left_semi").where(F.col("n") != F.col("b")).select(F.col("n").alias("a"), "b"))
+    rest = cut_lineage(texts.select("n", "rank").join(heads, "n", "left_anti").join(taken.select(F.col("a").alias("n")), "n", "left_anti"), "rest")
+    left = blocks.join(rest.select("n"), "n", "left_semi")
+    one, two = left.alias("x"), left.alias("y")
+    inner = near(one.join(two, ["node", "gram"]).where(F.col("y.rank") < F.col("x.rank")).select(F.col("x.n").alias("a"), F.col("y.n").alias("b")))
+    found, open_ = heads.limit(0), cut_lineage(rest.select("n"), "open")
+    while not open_.isEmpty():
+        links = inner.join(open_.select(F.col("n").alias("a")), "a", "left_semi").join(open_.select(F.col("n").alias("b")), "b", "left_semi")
+        new = cut_lineage(open_.join(links.select(F.col("a").alias("n")), "n", "left_anti"), "found")
+        gone = inner.join(new.select(F.col("n").alias("b")), "b", "left_semi").select(F.col("a").alias("n"))
+        open_ = cut_lineage(open_.join(new, "n", "left_anti").join(gone, "n", "left_anti"), "open")
+        found = cut_lineage(found.union(new), "found")
+    late = blocks.join(found, "n", "left_semi").select("node", "gram", F.col("n").alias("b"), F.col("rank").alias("_rank"))
+    members = blocks.join(taken.select(F.col("a").alias("n")), "n", "left_semi").select("node", "gram", F.col("n").alias("a"), "rank")
+    more = near(members.join(late, ["node", "gram"]).where(F.col("_rank") < F.col("rank")).select("a", "b"))
+    to_found = inner.join(found.select(F.col("n").alias("b")), "b", "left_semi").select("a", "b")
+    every = taken.union(more).union(to_found).join(texts.select(F.col("n").alias("b"), "rank"), "b")
+    named = every.groupBy("a").agg(F.min("rank").alias("_best")).select(F.col("a").alias("n"), F.col("_best.name").alias("_target"))
+    of = texts.join(named, "n", "left").select("node", "sequence", F.coalesce("_target", "seq_id").alias("target"))
+    return sequences.select("node", F.col("seq_id").alias("query"), "sequence").join(of, ["node", "sequence"]).select("node", "query", "target")
 
 
 def cluster_up(sequences: DataFrame, guide: str, identity: float = 0.9) -> DataFrame:
@@ -263,18 +337,86 @@ def cluster_up(sequences: DataFrame, guide: str, identity: float = 0.9) -> DataF
     return moved.union(alone)
 
 
-def kmer_hits(sequences: DataFrame, k: int = 8, shared: int = 4, targets: int = 20, most_common: int = 1000) -> DataFrame:
-    """query, target, shared: pairs of (seq_id, sequence) that share words of k letters, best ``targets`` a query.
+def kmer_hits(sequences: DataFrame, k: int = 8, shared: int = 4, targets: int = 20, targets_of: DataFrame | None = None) -> DataFrame:
+    """query, target, shared: pairs of (seq_id, sequence) that share ``shared`` words of k letters, best ``targets`` a query;
+    targets are of ``targets_of`` if it is given.
 
-    Words in more than ``most_common`` sequences say nothing about likeness and are left out of the search, as
-    sequence search tools do; that bound keeps the join linear.
+    Equal sequences are one in the search and come back in its result. Of each sequence's n words, the n - shared + 1 that
+    the fewest sequences have find the pairs (two sequences that share enough have one of these in common), and only these
+    pairs are counted over all their words; so words that most sequences hold are joined only where a sequence has
+    hardly any other, and none is left out.
+    """
+    text = lambda df: df.select("seq_id", "sequence", F.xxhash64("sequence").alias("_c"))
+    left = text(sequences)
+    right = left if targets_of is None else text(targets_of)
+    one = left if targets_of is None else left.union(right)
+    place = F.sequence(F.lit(1), F.length("sequence") - k + 1)
+    words = one.where(F.length("sequence") >= k).dropDuplicates(["_c"]).select("_c", F.explode(F.array_distinct(F.transform(place, lambda i: F.substring("sequence", i, F.lit(k))))).alias("word"))
+    often = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    held = words.join(often, "word")
+    rank = F.row_number().over(Window.partitionBy("_c").orderBy("n", "word"))
+    every = F.count("*").over(Window.partitionBy("_c"))
+    first = held.withColumns({"_r": rank, "_all": every}).where(F.col("_r") <= F.col("_all") - shared + 1)
+    near = first.select(F.col("_c").alias("_q"), "word").join(first.select(F.col("_c").alias("_t"), "word"), "word").where(F.col("_q") != F.col("_t")).select("_q", "_t").distinct()
+    bags = held.groupBy("_c").agg(F.collect_list(F.xxhash64("word")).alias("_w"))
+    both = near.join(bags.select(F.col("_c").alias("_q"), F.col("_w").alias("_a")), "_q").join(bags.select(F.col("_c").alias("_t"), F.col("_w").alias("_b")), "_t")
+    counts = both.select("_q", "_t", F.size(F.array_intersect("_a", "_b")).cast("long").alias("shared")).where(F.col("shared") >= shared)
+    # a sequence shares all its words with those equal to it
+    same = words.groupBy("_c").agg(F.count("*").alias("shared")).where(F.col("shared") >= shared).select(F.col("_c").alias("_q"), F.col("_c").alias("_t"), "shared")
+    names = right.select(F.col("seq_id").alias("target"), F.col("_c").alias("_t"))
+    # of equal targets no more than can be among the best
+    names = names.withColumn("_k", F.row_number().over(Window.partitionBy("_t").orderBy("target"))).where(F.col("_k") <= targets + 1).drop("_k")
+    pairs = counts.union(same).join(names, "_t").join(left.select(F.col("seq_id").alias("query"), F.col("_c").alias("_q")), "_q").where(F.col("query") != F.col("target"))
+    best = Window.partitionBy("query").orderBy(F.col("shared").desc(), "target")
+    return pairs.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= targets).select("query", "target", "shared")
+
+
+def frames_of(contigs: DataFrame) -> DataFrame:
+    """seq_id (contig:frame), contig, frame, sequence: the proteins of the six reading frames of (seq_id, sequence)."""
+    from ..functions.scalars import six_frames
+
+    rows = contigs.select(F.col("seq_id").alias("contig"), F.explode(six_frames(F.col("sequence"))).alias("_f"))
+    return rows.select(F.concat_ws(":", "contig", F.col("_f.frame").cast("string")).alias("seq_id"), "contig", F.col("_f.frame").alias("frame"), F.col("_f.protein").alias("sequence")).where(F.length("sequence") > 0)
+
+
+def busco_search(contigs: DataFrame, proteins: DataFrame, k: int = 4, shared: int = 2, targets: int = 1) -> DataFrame:
+    """The hits of nucleotide contigs on reference proteins (seq_id, sequence), as :func:`aligned_hits` with the contig's name
+    and the frame: each contig's best ``targets`` by bits over its six frames."""
+    frames = frames_of(contigs)
+    pairs = kmer_hits(frames.select("seq_id", "sequence"), k, shared, targets * 6, targets_of=proteins)
+    found = aligned_hits(frames.select("seq_id", "sequence").union(proteins.select("seq_id", "sequence")), pairs, letters=20)
+    found = found.join(frames.select(F.col("seq_id").alias("query"), "contig", "frame"), "query").drop("query").withColumnRenamed("contig", "query")
+    best = Window.partitionBy("query").orderBy(F.col("bits").desc(), "target", "frame")
+    return found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= targets).drop("_r")
+
+
+def set_cover(pairs: DataFrame) -> DataFrame:
+    """seq_id, cluster by greedy set cover of links (query, target): the sequence with the most linked ones that are free
+    becomes a representative with them, of equal ones the smaller, until none is free.
+
+    All sequences that come before every free one within two links are taken in one round, which gives the same clusters
+    as one at a time; a round is a few joins, written to the shared folder.
     """
-    words = sequences.select("seq_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("sequence") - k + 1, F.lit(1))), lambda i: F.substring("sequence", i, F.lit(k))))).alias("word")).where(F.length("word") == k)
-    rare = words.groupBy("word").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= most_common)).select("word")
-    words = words.join(rare, "word")
-    pairs = words.select(F.col("seq_id").alias("query"), "word").join(words.select(F.col("seq_id").alias("target"), "word"), "word").where(F.col("query") != F.col("target"))
-    counts = pairs.groupBy("query", "target").agg(F.count("*").alias("shared")).where(F.col("shared") >= shared)
-    return counts.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.col("shared").desc(), "target"))).where(F.col("_r") <= targets).drop("_r")
+    from .graphs import cut_lineage
+
+    links = pairs.where(F.col("query") != F.col("target")).select(F.col("query").alias("a"), F.col("target").alias("b"))
+    links = cut_lineage(links.union(links.select("b", "a")).distinct(), "cover-links")
+    alone = pairs.select(F.explode(F.array("query", "target")).alias("seq_id")).distinct().join(links.select(F.col("a").alias("seq_id")).distinct(), "seq_id", "left_anti")
+    free, done = cut_lineage(links.select(F.col("a").alias("n")).distinct(), "cover-free"), alone.select("seq_id", F.col("seq_id").alias("cluster"))
+    while not free.isEmpty():
+        own = cut_lineage(links.join(free, F.col("a") == F.col("n"), "left_semi").join(free, F.col("b") == F.col("n"), "left_semi"), "cover-links")
+        size = free.join(own.groupBy("a").agg(F.count("*").alias("_s")), F.col("n") == F.col("a"), "left").select("n", F.struct((-F.coalesce("_s", F.lit(0))).alias("s"), F.col("n").alias("n")).alias("rank"))
+        size = cut_lineage(size, "cover-size")
+        # the best rank within one link, then within two
+        near = own.join(size, F.col("b") == F.col("n")).select(F.col("a").alias("n"), "rank").union(size).groupBy("n").agg(F.min("rank").alias("rank"))
+        wide = own.join(near, F.col("b") == F.col("n")).select(F.col("a").alias("n"), "rank").union(near).groupBy("n").agg(F.min("rank").alias("rank"))
+        chosen = cut_lineage(wide.where(F.col("rank.n") == F.col("n")).select(F.col("n").alias("cluster")), "cover-chosen")
+        taken = chosen.select(F.col("cluster").alias("seq_id"), "cluster").union(own.join(chosen, F.col("a") == F.col("cluster")).select(F.col("b").alias("seq_id"), "cluster"))
+        taken = cut_lineage(taken, "cover-taken")
+        done = done.union(taken)
+        free = cut_lineage(free.join(taken, F.col("n") == F.col("seq_id"), "left_anti"), "cover-free")
+        links = own
+    return done
 
 
 def aligned_hits(sequences: DataFrame, pairs: DataFrame, letters: int = 4) -> DataFrame:

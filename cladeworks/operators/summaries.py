@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .graphs import cut_lineage
+
 
 def branch_stats(observations: DataFrame) -> DataFrame:
     """Per branch_id of (branch_id, length): concord, mean, median, min, max and the 95 % interval of the mean (0 for one observation)."""
@@ -47,16 +49,46 @@ def first_leaf_per_species(leaves: DataFrame) -> DataFrame:
     return leaves.withColumn("_r", F.row_number().over(order)).where(F.col("_r") == 1).drop("_r")
 
 
-def clade_tips(parents: DataFrame, leaves: DataFrame, levels: int = 64) -> DataFrame:
+def ancestors(parents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """leaf, node: each of ``nodes`` (leaf) with itself and all nodes above it in (id, parent).
+
+    Distances double each round, so a chain of n nodes takes log2(n) rounds, each written to the shared folder. A circle
+    of parents raises ValueError.
+    """
+    jump = cut_lineage(parents.select(F.col("id").alias("lower"), F.col("parent").alias("upper")).distinct(), "jumps")
+    most = jump.agg(F.count_distinct("lower")).first()[0]
+    found, step = nodes.select("leaf", F.col("leaf").alias("node")), 1
+    while not jump.isEmpty():
+        if step > most:
+            raise ValueError("the parents of some nodes go round in a circle")
+        further = found.join(jump, found["node"] == jump["lower"]).select("leaf", F.col("upper").alias("node"))
+        found = cut_lineage(found.union(further), "ancestors")
+        near, far = jump.alias("x"), jump.alias("y")
+        jump = cut_lineage(near.join(far, F.col("x.upper") == F.col("y.lower")).select("x.lower", "y.upper"), "jumps")
+        step *= 2
+    return found
+
+
+def taxa_below(parents: DataFrame, leaves: DataFrame) -> DataFrame:
+    """node, taxon, n: leaves of each taxon below each node of (id, parent); ``leaves``: leaf, taxon."""
+    above = ancestors(parents, leaves.select("leaf").distinct())
+    return above.join(leaves.select("leaf", "taxon"), "leaf").groupBy("node", "taxon").agg(F.count("*").alias("n"))
+
+
+def clade_tips(parents: DataFrame, leaves: DataFrame) -> DataFrame:
     """node, tips, taxa: leaves and distinct taxa below each node of (id, parent); ``leaves``: leaf, taxon."""
-    at = leaves.select("leaf", "taxon", F.col("leaf").alias("node"))
-    found = at
-    for _ in range(levels):
-        at = at.join(parents, at["node"] == parents["id"]).select("leaf", "taxon", F.col("parent").alias("node"))
-        if at.isEmpty():
-            break
-        found = found.union(at)
-    return found.groupBy("node").agg(F.count("*").alias("tips"), F.count_distinct("taxon").alias("taxa"))
+    return taxa_below(parents, leaves).groupBy("node").agg(F.sum("n").alias("tips"), F.count("taxon").alias("taxa"))
+
+
+def back_score(parents: DataFrame, leaves: DataFrame) -> DataFrame:
+    """node, score: how many leaves are not below a node, if their taxa are all different, else -1."""
+    below = cut_lineage(taxa_below(parents, leaves), "taxa")
+    total = leaves.groupBy("taxon").agg(F.count("*").alias("_all"))
+    # taxa with two leaves or more, less those of which a node leaves one at most
+    left = below.join(total, "taxon").groupBy("node").agg(F.sum("n").alias("_tips"), F.count_if((F.col("_all") > 1) & (F.col("_all") - F.col("n") < 2)).alias("_freed"))
+    every = total.agg(F.sum("_all").alias("_leaves"), F.count_if(F.col("_all") > 1).alias("_several"))
+    score = F.when(F.col("_several") == F.col("_freed"), F.col("_leaves") - F.col("_tips")).otherwise(-1)
+    return left.crossJoin(F.broadcast(every)).select("node", score.alias("score"))  # every: one row
 
 
 def front_score(clades: DataFrame) -> DataFrame:

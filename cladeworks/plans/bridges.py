@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,13 +40,18 @@ SEQUENCES = """s as (select lang || '.fa' as source_file, doc_id as ordinal, lan
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """aln_id, seq_id, row: the first 200 signs of the documents of one source, blanks as gaps."""
-    d = table(spark, sf_dir, "documents")
-    row = F.rpad(F.regexp_replace(F.substring("text", 1, 200), r"[^A-Za-z]", "-"), 200, "-")
-    return d.select(F.col("source").alias("aln_id"), F.concat("lang", F.lit("@"), F.lpad(F.col("doc_id").cast("string"), 8, "0")).alias("seq_id"), row.alias("row"))
+    """aln_id, seq_id, row: the names of all parts of one brand, other signs than letters as gaps, padded to the longest."""
+    part = table(spark, sf_dir, "part")
+    name = F.regexp_replace("p_name", "[^A-Za-z]", "-")
+    width = F.max(F.length("p_name")).over(Window.partitionBy("p_brand"))
+    seq_id = F.concat("p_type", F.lit("@"), F.lpad(F.col("p_partkey").cast("string"), 8, "0"))
+    return part.select(F.col("p_brand").alias("aln_id"), seq_id.alias("seq_id"), F.rpad(name, width, F.lit("-")).alias("row"))
 
 
-ALIGNMENTS = """a as (select source as aln_id, lang || '@' || lpad(cast(doc_id as varchar), 8, '0') as seq_id, rpad(regexp_replace(substr(text, 1, 200), '[^A-Za-z]', '-', 'g'), 200, '-') as row from documents)"""
+ALIGNMENTS = """a as (
+  select p_brand as aln_id, p_type || '@' || lpad(cast(p_partkey as varchar), 8, '0') as seq_id,
+         rpad(regexp_replace(p_name, '[^A-Za-z]', '-', 'g'), cast(max(length(p_name)) over (partition by p_brand) as int), '-') as row
+  from part)"""
 
 
 def gene_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +66,6 @@ def gene_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """aln_id, seq_id, sequence: the letters A, C, G, T of whole documents in small groups."""
+    """aln_id, seq_id, sequence: the letters A, C, G, T of whole documents, five to a group whatever the table's size."""
     s = sequences(spark, sf_dir)
-    return s.select(F.concat(F.lit("f"), (F.col("ordinal") % 200).cast("string")).alias("aln_id"), F.col("seq_name").alias("seq_id"), "sequence").where(F.length("sequence") > 0)
+    return s.select(F.concat(F.lit("f"), F.floor(F.col("ordinal") / 5).cast("string")).alias("aln_id"), F.col("seq_name").alias("seq_id"), "sequence").where(F.length("sequence") > 0)

@@ -181,7 +181,7 @@ def alignment_quality(spark, d) -> DataFrame:
     return al.alignment_quality(br.alignments(spark, d))
 
 
-@query(f"with {ALIGNMENTS}, p as (select aln_id, seq_id, row, unnest(range(200)) as i from a), o as (select aln_id, i from p group by 1, 2 having avg(case when substr(row, i + 1, 1) in ('-', '?') then 0e0 else 1e0 end) >= 0.85) select p.aln_id, p.seq_id, string_agg(substr(row, p.i + 1, 1), '' order by p.i) as row from p join o on p.aln_id = o.aln_id and p.i = o.i group by 1, 2")
+@query(f"with {ALIGNMENTS}, p as (select aln_id, seq_id, row, unnest(range(length(row))) as i from a), o as (select aln_id, i from p group by 1, 2 having avg(case when substr(row, i + 1, 1) in ('-', '?') then 0e0 else 1e0 end) >= 0.85) select p.aln_id, p.seq_id, string_agg(substr(row, p.i + 1, 1), '' order by p.i) as row from p join o on p.aln_id = o.aln_id and p.i = o.i group by 1, 2")
 def pxclsq_columns(spark, d) -> DataFrame:
     return al.drop_columns(br.alignments(spark, d), 0.85)
 
@@ -191,7 +191,7 @@ def partition_offsets(spark, d) -> DataFrame:
     return al.partition_offsets(br.alignments(spark, d))
 
 
-@query(f"with {ALIGNMENTS}, o as (select aln_id, split_part(seq_id, '@', 1) as taxon, min_by(row, seq_id) as row from a group by 1, 2), g as (select * from (select distinct taxon from o), (select distinct aln_id from a)) select g.taxon, string_agg(coalesce(o.row, repeat('-', 200)), '' order by g.aln_id) as row from g left join o on g.taxon = o.taxon and g.aln_id = o.aln_id group by 1")
+@query(f"with {ALIGNMENTS}, o as (select aln_id, split_part(seq_id, '@', 1) as taxon, min_by(row, seq_id) as row from a group by 1, 2), g as (select * from (select distinct taxon from o), (select aln_id, max(length(row)) as n from a group by 1)) select g.taxon, string_agg(coalesce(o.row, repeat('-', g.n)), '' order by g.aln_id) as row from g left join o on g.taxon = o.taxon and g.aln_id = o.aln_id group by 1")
 def supermatrix_concat(spark, d) -> DataFrame:
     return al.supermatrix(br.alignments(spark, d), hits.taxon_of(F.col("seq_id")))
 
@@ -272,12 +272,12 @@ STEPS = "s as (select strftime(ts, '%Y-%m-%d') as iteration, event_type as step,
 
 
 @query(f"with {STEPS} select iteration, cast(sum(case when step = 'click' then n else 0 end) as bigint) as click, cast(sum(case when step = 'view' then n else 0 end) as bigint) as view, cast(sum(case when step = 'purchase' then n else 0 end) as bigint) as purchase from s group by 1")
-def rpt_iteration_flow(spark, d) -> DataFrame:
+def steps_by_iteration(spark, d) -> DataFrame:
     return summaries.steps_by_iteration(_steps(spark, d), ["click", "view", "purchase"])
 
 
 @query("with s as (select strftime(ts, '%Y-%m-%d') as iteration, count(*) as n_in, count(*) filter (value > 10) as n_out from events group by 1), g as (select iteration, coalesce(lag(n_out) over (order by iteration), n_in) as given, n_out from s) select iteration, cast(given as bigint) as given, cast(n_out as bigint) as n_out, round(case when given > 0 then n_out * 100e0 / given else 0e0 end, 2) as success_pct from g")
-def rpt_mafft_summary(spark, d) -> DataFrame:
+def success_rates(spark, d) -> DataFrame:
     e = table(spark, d, "events")
     return summaries.success_rates(e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("iteration")).agg(F.count("*").alias("n_in"), F.count_if(F.col("value") > 10).alias("n_out")))
 
@@ -311,10 +311,10 @@ def iteration_router(spark, d) -> DataFrame:
     return done.withColumn("again", F.lit(False)).union(again.withColumn("again", F.lit(True)))
 
 
-@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as tips, round(sum(floor((c_acctbal + 1000) * 3)) / 100000, 4) as total from customer group by 1")
+@query("select cast(c_nationkey as varchar) || '-' || cast(c_custkey % 2 as varchar) as tree_id, cast(count(*) as bigint) as tips, round(sum(floor((c_acctbal + 1000) * 3)) / 100000, 6) as total from customer group by 1")
 def scan_newick(spark, d) -> DataFrame:
     n = kernels.nodes(br.gene_trees(spark, d)).where("is_tip")
-    return n.groupBy("tree_id").agg(F.count("*").alias("tips"), F.round(F.sum("length"), 4).alias("total"))
+    return n.groupBy("tree_id").agg(F.count("*").alias("tips"), F.round(F.sum("length"), 6).alias("total"))
 
 
 @query()
@@ -462,17 +462,17 @@ STAGES = "g as (select event_type as stage, user_id % 5 as iteration, count(*) a
 
 
 @query(f"with {STAGES} select stage, cast(count(distinct iteration) as bigint) as iterations, cast(sum(n_in) as bigint) as n_in, cast(sum(n_out) as bigint) as n_out, cast(sum(seconds) as bigint) as seconds, round(case when sum(n_in) > 0 then sum(n_out) * 100e0 / sum(n_in) else 0e0 end, 2) as success_pct from g group by 1")
-def rpt_tree_processing(spark, d) -> DataFrame:
+def totals_by_stage(spark, d) -> DataFrame:
     return summaries.totals_by_stage(_stages(spark, d))
 
 
 @query(f"with {STAGES} select cast(count(distinct stage) as bigint) as stages, cast(count(distinct iteration) as bigint) as iterations, cast(sum(seconds) as bigint) as total_seconds, (select stage from (select stage, sum(seconds) as s from g group by 1) order by s desc, stage desc limit 1) as slowest from g")
-def rpt_pipeline_summary(spark, d) -> DataFrame:
+def slowest_stage(spark, d) -> DataFrame:
     return summaries.pipeline_row(_stages(spark, d))
 
 
 @query(f"with {STAGES}, t as (select stage, sum(n_in) as n_in, sum(n_out) as n_out from g group by 1) select stage, 'n_in' as metric, cast(n_in as double) as value from t union all select stage, 'n_out', cast(n_out as double) from t")
-def rpt_clustering_summary(spark, d) -> DataFrame:
+def long_metrics(spark, d) -> DataFrame:
     return summaries.long_metrics(_stages(spark, d).groupBy("stage").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")), "stage", ["n_in", "n_out"])
 
 
@@ -490,3 +490,6 @@ def bes_summarize(spark, d) -> DataFrame:
 @query()
 def hc_vsearch(spark, d) -> DataFrame:
     return kernels.centroids(br.families(spark, d).select(F.col("aln_id").alias("node"), "seq_id", "sequence"), 0.9)
+
+
+from . import later  # noqa: E402, F401  its queries go into the same tables

@@ -30,18 +30,44 @@ def last_of_each(records: DataFrame) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """source_file, seq_name, sequence, qual, quals of whole files' four-line records (files are the unit, so keep them moderate)."""
-    rows = spark.read.text(path, wholetext=True).select(file_name().alias("source_file"), F.split(F.regexp_replace("value", "\r", ""), "\n").alias("_l"))
-    each = rows.select("source_file", "_l", F.explode(F.sequence(F.lit(0), F.floor((F.size("_l") - 4) / 4).cast("int"))).alias("_i")).where(F.size("_l") >= 4)
-    line = lambda k: F.get("_l", F.col("_i") * 4 + k)
-    qual = line(3)
-    return each.where(line(0).startswith("@")).select("source_file", F.col("_i").cast("long").alias("ordinal"), F.regexp_extract(line(0), r"^@(\S*)", 1).alias("seq_name"), line(1).alias("sequence"), qual.alias("qual"), F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33).alias("quals"))
+    """source_file, ordinal, seq_name, sequence, qual, quals of four-line records.
+
+    Records are split where a line begins with ``@``, so large files are split between tasks. A quality line that begins
+    with ``@`` is split off as well: such a record's three lines are joined with the piece behind them, which for the last
+    one of a file's block is the first of the next block.
+    """
+    meta = [F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_from"), (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("_to")]
+    rows = spark.read.option("lineSep", "\n@").text(path).select(*meta, F.monotonically_increasing_id().alias("ordinal"), "value")
+    lines = F.split(F.regexp_replace(F.regexp_replace("value", "\r", ""), r"\n+$", ""), "\n")
+    rows = rows.select("_f", "_from", "_to", "ordinal", lines.alias("_l"))
+    blocks = rows.groupBy("_f", "_from").agg(F.min("ordinal").alias("_first"), F.max("ordinal").alias("_last"))
+    behind = blocks.select("_f", F.col("_from").alias("_to"), F.col("_first").alias("_then"))
+    cut = rows.where(F.size("_l") == 3).join(blocks, ["_f", "_from"]).join(behind, ["_f", "_to"], "left")
+    cut = cut.withColumn("_next", F.when(F.col("ordinal") == F.col("_last"), F.col("_then")).otherwise(F.col("ordinal") + 1))
+    rest = rows.where(F.size("_l") == 1).select(F.col("ordinal").alias("_next"), F.get("_l", F.lit(0)).alias("_rest"))
+    mended = cut.join(rest, "_next").select("_f", "ordinal", "_l", F.concat(F.lit("@"), "_rest").alias("qual"))
+    whole = rows.where(F.size("_l") >= 4).select("_f", "ordinal", "_l", F.get("_l", F.lit(3)).alias("qual")).union(mended)
+    name = F.regexp_extract(F.get("_l", F.lit(0)), r"^@?(\S*)", 1)
+    return whole.where(F.get("_l", F.lit(2)).startswith("+")).select(
+        F.element_at(F.split("_f", "/"), -1).alias("source_file"), "ordinal", name.alias("seq_name"), F.get("_l", F.lit(1)).alias("sequence"), "qual",
+        F.transform(F.split("qual", ""), lambda c: F.ascii(c) - 33).alias("quals"),
+    )
+
+
+def hit_lines(spark: SparkSession, path: str, schema: str = HIT) -> DataFrame:
+    """Tab-separated hits with ``malformed``: lines of too few fields or with an unreadable number. The last field may lack."""
+    read = spark.read.option("sep", "\t").option("mode", "PERMISSIVE").schema(schema).csv(path)
+    wanted = [c for c in read.columns if c != "qframe"]
+    wanted = wanted[:-1] if schema == HIT else wanted
+    lacking = F.lit(False)
+    for c in wanted:
+        lacking = lacking | F.col(c).isNull()
+    return read.withColumn("malformed", lacking)
 
 
 def hits(spark: SparkSession, path: str, schema: str = HIT) -> DataFrame:
-    """Tab-separated hits; lines with fewer fields or unreadable numbers are left out."""
-    read = spark.read.option("sep", "\t").option("mode", "PERMISSIVE").schema(schema).csv(path)
-    return read.dropna(subset=[c for c in read.columns if c != "qframe"])
+    """The hits of :func:`hit_lines` that can be read."""
+    return hit_lines(spark, path, schema).where(~F.col("malformed")).drop("malformed")
 
 
 def pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -71,13 +97,27 @@ def support_values(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace("_b", '^"|"$', "").alias("branch_id"), F.explode(rest).alias("_v")).select("branch_id", F.trim("_v").try_cast("double").alias("value")).where(F.col("value").isNotNull())
 
 
+_N = r"(-?[\d.]+(?:[eE][+-]?\d+)?)"
 #: Fields of a tree report: name, pattern, type.
 REPORT = (
-    ("num_sequences", r"Input data:\s*(\d+) sequences", "int"), ("num_sites", r"Input data:.*?(\d+) \S+ sites", "int"), ("num_constant_sites", r"Number of constant sites:\s*(\d+)", "int"), ("pct_constant", r"Number of constant sites:[^(]*\(=\s*([\d.]+)%", "double"),
-    ("num_parsimony_informative", r"Number of parsimony informative sites:\s*(\d+)", "int"), ("num_distinct_patterns", r"Number of distinct site patterns:\s*(\d+)", "int"), ("substitution_model", r"Model of substitution:\s*(\S+)", "string"), ("log_likelihood", r"Log-likelihood of the tree:\s*(-?[\d.]+)", "double"),
-    ("AIC", r"Akaike information criterion \(AIC\) score:\s*(-?[\d.]+)", "double"), ("AICc", r"Corrected Akaike information criterion \(AICc\) score:\s*(-?[\d.]+)", "double"), ("BIC", r"Bayesian information criterion \(BIC\) score:\s*(-?[\d.]+)", "double"), ("gamma_alpha", r"Gamma shape alpha:\s*([\d.]+)", "double"),
-    ("total_tree_length", r"Total tree length[^:]*:\s*([\d.]+)", "double"), ("internal_branch_length", r"Sum of internal branch lengths:\s*([\d.]+)", "double"), ("pct_internal_length", r"Sum of internal branch lengths:[^(]*\(([\d.]+)%", "double"), ("cpu_time_s", r"Total CPU time used:\s*([\d.]+)", "double"), ("wall_time_s", r"Total wall-clock time used:\s*([\d.]+)", "double"),
-)
+    ("num_sequences", r"Input data:\s*(\d+) sequences", "int"),
+    ("num_sites", r"Input data:.*?(\d+) \S+ sites", "int"),
+    ("num_constant_sites", r"Number of constant sites:\s*(\d+)", "int"),
+    ("pct_constant", rf"Number of constant sites:[^(]*\(=\s*{_N}%", "double"),
+    ("num_parsimony_informative", r"Number of parsimony informative sites:\s*(\d+)", "int"),
+    ("num_distinct_patterns", r"Number of distinct site patterns:\s*(\d+)", "int"),
+    ("substitution_model", r"Model of substitution:\s*(\S+)", "string"),
+    ("log_likelihood", rf"Log-likelihood of the tree:\s*{_N}", "double"),
+    ("AIC", rf"Akaike information criterion \(AIC\) score:\s*{_N}", "double"),
+    ("AICc", rf"Corrected Akaike information criterion \(AICc\) score:\s*{_N}", "double"),
+    ("BIC", rf"Bayesian information criterion \(BIC\) score:\s*{_N}", "double"),
+    ("gamma_alpha", rf"Gamma shape alpha:\s*{_N}", "double"),
+    ("total_tree_length", rf"Total tree length[^:]*:\s*{_N}", "double"),
+    ("internal_branch_length", rf"Sum of internal branch lengths:\s*{_N}", "double"),
+    ("pct_internal_length", rf"Sum of internal branch lengths:[^(]*\({_N}%", "double"),
+    ("cpu_time_s", rf"Total CPU time used:\s*{_N}", "double"),
+    ("wall_time_s", rf"Total wall-clock time used:\s*{_N}", "double"),
+)
 
 
 def report_fields(rows: DataFrame) -> DataFrame:

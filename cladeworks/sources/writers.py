@@ -23,7 +23,13 @@ def edges(rows: DataFrame, path: str) -> None:
 
 
 def newick(rows: DataFrame, path: str) -> None:
-    rows.select(F.col("newick").alias("value"), "tree_id").write.partitionBy("tree_id").text(path)
+    """Trees a line, with their identifiers before them: as many files as tasks, not one a tree."""
+    rows.select("tree_id", "newick").write.option("sep", "\t").csv(path)
+
+
+def node_map(rows: DataFrame, path: str) -> None:
+    """Columns node, source_file as one JSON object a node with its files in order."""
+    rows.groupBy("node").agg(F.array_sort(F.collect_set("source_file")).alias("files")).write.json(path)
 
 
 def partitions(offsets: DataFrame, path: str, kind: str = "DNA") -> None:
