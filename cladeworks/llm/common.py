@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -22,19 +23,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder name below the folder that the session names in ``spark.checkpoint.dir``.
 
-    Where that is unset, below the warehouse folder, which all executors share as well; a
-    session on one machine takes a temporary folder.
+    Where that is unset, below the warehouse folder if that is in a store which all executors
+    reach; a session on one machine takes a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base and spark.sparkContext.master.startswith("local"):
         base = "file://" + tempfile.mkdtemp(prefix="cladeworks-")
         spark.sparkContext.setCheckpointDir(base)
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith("/") or warehouse.startswith("file:"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"{warehouse.rstrip('/')}/_checkpoints"
     return f"{base.rstrip('/')}/cladeworks/{what}-{uuid.uuid4().hex}"
 
 
-#: Folders of the scopes that are open, innermost last.
-_scopes: list[list[str]] = []
+#: Folders of the scopes that are open in this thread, innermost last.
+_open = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_open, "scopes"):
+        _open.scopes = []
+    return _open.scopes
 
 
 @contextlib.contextmanager
@@ -43,11 +54,11 @@ def scratch(spark: SparkSession):
 
     Nothing that is read later may depend on them without being written itself.
     """
-    _scopes.append([])
+    _scopes().append([])
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        for path in _scopes().pop():
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -59,7 +70,7 @@ def written(df: DataFrame, what: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, what)
-    for scope in _scopes[-2:-1] if keep else _scopes[-1:]:
+    for scope in _scopes()[-2:-1] if keep else _scopes()[-1:]:
         scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

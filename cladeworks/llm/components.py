@@ -24,12 +24,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component (its smallest node) of all nodes that have an edge. ``edges`` has whole-number columns u and v."""
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node) of all nodes that have an edge. ``edges`` has whole-number columns u and v.
+
+    Rounds go on until a round changes nothing; their number grows with the logarithm of the nodes."""
     clean = lambda e: e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v")).distinct()
     edges = written(clean(edges), "star")
     seen = None
-    for _ in range(rounds):
+    while True:
         edges = written(clean(_star(clean(_star(edges, True)), False)), "star")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:

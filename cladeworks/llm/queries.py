@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, linkgraph, mixing, ngramjoin, sstable, suffixdedup, surrogates, topk, toxicity, warc
+from . import decontaminate, infilling, linkgraph, mixing, neartiles, ngramjoin, resampling, sstable, suffixdedup, surrogates, topk, toxicity, warc
 
 QUERIES = {
     "op1_link_graph": linkgraph.op1_link_graph,
@@ -15,10 +15,15 @@ QUERIES = {
     "op8_impact_topk": topk.op8_impact_topk,
     "op9_noisy_channel_toxicity": toxicity.op9_noisy_channel_toxicity,
     "op10_pareto_mixing": mixing.op10_pareto_mixing,
+    "op11_crc_resampling": resampling.op11_crc_resampling,
+    "op12_pca_tiles": neartiles.op12_pca_tiles,
+    "op13_fill_in_middle": infilling.op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
     "op5_warc_round_trip": warc.SQL,
     "op8_impact_topk": topk.SQL,
     "op10_pareto_mixing": mixing.SQL,
+    "op12_pca_tiles": neartiles.SQL,
+    "op13_fill_in_middle": infilling.SQL,
 }
