@@ -379,17 +379,6 @@ def frames_of(contigs: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws(":", "contig", F.col("_f.frame").cast("string")).alias("seq_id"), "contig", F.col("_f.frame").alias("frame"), F.col("_f.protein").alias("sequence")).where(F.length("sequence") > 0)
 
 
-def busco_search(contigs: DataFrame, proteins: DataFrame, k: int = 4, shared: int = 2, targets: int = 1) -> DataFrame:
-    """The hits of nucleotide contigs on reference proteins (seq_id, sequence), as :func:`aligned_hits` with the contig's name
-    and the frame: each contig's best ``targets`` by bits over its six frames."""
-    frames = frames_of(contigs)
-    pairs = kmer_hits(frames.select("seq_id", "sequence"), k, shared, targets * 6, targets_of=proteins)
-    found = aligned_hits(frames.select("seq_id", "sequence").union(proteins.select("seq_id", "sequence")), pairs, letters=20)
-    found = found.join(frames.select(F.col("seq_id").alias("query"), "contig", "frame"), "query").drop("query").withColumnRenamed("contig", "query")
-    best = Window.partitionBy("query").orderBy(F.col("bits").desc(), "target", "frame")
-    return found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= targets).drop("_r")
-
-
 def set_cover(pairs: DataFrame) -> DataFrame:
     """seq_id, cluster by greedy set cover of links (query, target): the sequence with the most linked ones that are free
     becomes a representative with them, of equal ones the smaller, until none is free.
@@ -417,31 +406,3 @@ def set_cover(pairs: DataFrame) -> DataFrame:
         free = cut_lineage(free.join(taken, F.col("n") == F.col("seq_id"), "left_anti"), "cover-free")
         links = own
     return done
-
-
-def aligned_hits(sequences: DataFrame, pairs: DataFrame, letters: int = 4) -> DataFrame:
-    """The columns of a search hit for pairs (query, target): identity and span of their alignment, bits and evalue against all letters."""
-    import math
-
-    import pandas as pd
-
-    size = sequences.agg(F.sum(F.length("sequence"))).first()[0] or 1
-    side = lambda n: sequences.select(F.col("seq_id").alias(n), F.col("sequence").alias(f"_{n}"))
-    both = pairs.select("query", "target").join(side("query"), "query").join(side("target"), "target")
-    schema = "query string, qlen int, target string, tlen int, pident double, nident int, alnlen int, qstart int, qend int, tstart int, tend int, evalue double, bits double"
-
-    def run(frames):
-        for frame in frames:
-            out = []
-            for q, t, a, b in frame[["query", "target", "_query", "_target"]].itertuples(index=False):
-                x, y = ph.align_pair(a, b)
-                cells = [i for i in range(len(x)) if x[i] != ph.GAP and y[i] != ph.GAP]
-                same = sum(x[i] == y[i] for i in cells)
-                raw = 2 * same - (len(cells) - same)
-                bits = (math.log(letters) * raw - math.log(0.1)) / math.log(2)
-                lo, hi = (cells[0], cells[-1] + 1) if cells else (0, 0)
-                at = lambda s, i: len(s[:i].replace(ph.GAP, ""))
-                out.append((q, len(a), t, len(b), 100.0 * same / max(len(cells), 1), same, len(cells), at(x, lo) + 1, at(x, hi), at(y, lo) + 1, at(y, hi), len(a) * size * 2.0 ** -min(bits, 1000.0), bits))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-
-    return both.mapInPandas(run, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, udfs
-from ..operators import hits, joins, kernels, reports, species, summaries
+from ..operators import hits, joins, kernels, reports, search, species, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, SEQUENCES, table
 from .queries import CLADES, query
@@ -178,7 +178,7 @@ def six_frames(spark, d) -> DataFrame:
 def busco_search(spark, d) -> DataFrame:
     contigs = br.sequences(spark, d).select(F.col("seq_name").alias("seq_id"), "sequence").where(F.length("sequence") > 0)
     proteins = contigs.select(F.concat(F.lit("P:"), "seq_id").alias("seq_id"), scalars.translated(F.col("sequence")).alias("sequence"))
-    return kernels.busco_search(contigs, proteins)
+    return search.busco_search(contigs, proteins)
 
 
 @query()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import alignments as al
 from ..functions import scalars
-from ..operators import graphs, hits, joins, kernels, names, summaries
+from ..operators import graphs, hits, joins, kernels, names, search, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, HITS, SEQUENCES, table
 
@@ -354,7 +354,7 @@ def hc_run(spark, d) -> DataFrame:
 @query()
 def all_by_all(spark, d) -> DataFrame:
     s = br.families(spark, d).select("seq_id", "sequence")
-    return kernels.aligned_hits(s, kernels.kmer_hits(s, 10, 8, 5))
+    return search.all_by_all(s)
 
 
 def _parts(spark, d) -> DataFrame:

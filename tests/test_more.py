@@ -164,13 +164,6 @@ def test_set_cover_against_one_at_a_time(spark):
     assert {r.seq_id: r.cluster for r in kernels.set_cover(df).collect()} == expected
 
 
-def test_busco_search_finds_the_frame(spark):
-    gene = "ATGGCTGCTAAAGGTTTTGAACGTTGGCATGATTCTCCTAAATACTGCGTTATTCAG"
-    contigs = spark.createDataFrame([("c1", "TT" + gene), ("c2", "ACACACACACACACACACAC")], "seq_id string, sequence string")
-    proteins = contigs.limit(1).select(F.lit("p").alias("seq_id"), scalars.translated(F.lit(gene)).alias("sequence"))
-    assert [(r.query, r.target, r.frame, r.pident) for r in kernels.busco_search(contigs, proteins).collect()] == [("c1", "p", 3, 100.0)]
-
-
 def test_centroids_against_one_at_a_time(spark):
     from cladeworks.functions import phylogeny as ph
 
