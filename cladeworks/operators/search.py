@@ -23,13 +23,18 @@ from .graphs import cut_lineage
 
 #: Sequences of a word that one share takes; diagonals of a pair that go on; letters beside them that a band holds; diagonals
 #: within NEAR of the best one that share its band.
-HOT, DIAGONALS, BAND, NEAR = 256, 3, 24, 64
+HOT, DIAGONALS, BAND, NEAR = 256, 3, 20, 64
 HIT = "query string, qlen int, target string, tlen int, qframe int, pident double, nident int, alnlen int, mismatch int, gapopen int, qstart int, qend int, tstart int, tend int, evalue double, bits double"
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` in as many parts as the session shuffles to: what is few bytes here may still be much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _distinct(sequences: DataFrame) -> DataFrame:
     """c (number of a text), sequence."""
-    return sequences.where(F.length("sequence") > 0).select("sequence").distinct().select(F.xxhash64("sequence").alias("c"), "sequence")
+    return dealt(sequences.where(F.length("sequence") > 0).select("sequence").distinct().select(F.xxhash64("sequence").alias("c"), "sequence"), "c")
 
 
 def _words(texts: DataFrame, scoring: Scoring) -> DataFrame:
@@ -76,7 +81,7 @@ def scored_pairs(pairs: DataFrame, queries: DataFrame, targets: DataFrame, scori
 
     lists = pairs.groupBy("q", "t").agg(F.collect_list(F.struct("turned", "diagonal")).alias("diagonals"))
     side = lambda texts, c, name: texts.select(F.col("c").alias(c), F.col("sequence").alias(name))
-    both = lists.join(side(queries, "q", "x"), "q").join(side(targets, "t", "y"), "t")
+    both = dealt(lists, "q", "t").join(side(queries, "q", "x"), "q").join(side(targets, "t", "y"), "t")
     schema = "q long, t long, turned boolean, qn int, tn int, " + ", ".join(f"{f} int" for f in local.FIELDS)
 
     def run(frames):
