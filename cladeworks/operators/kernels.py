@@ -155,6 +155,21 @@ def distance_trees(rows: DataFrame, replicates: int = 0, protein: bool = False,
     return rows.select("aln_id", "seq_id", "row").groupBy("aln_id").applyInPandas(run, "tree_id string, newick string")
 
 
+def likelihood_trees(rows: DataFrame, replicates: int = 0, protein: bool = False, seed: int = 1) -> DataFrame:
+    """tree_id, newick, log_likelihood: the maximum-likelihood tree of each alignment of (aln_id, seq_id, row); with replicates,
+    inner labels are percentages of support. A null row is one without letters."""
+    import pandas as pd
+
+    from ..functions import likelihood as lk
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        own = {k.replace("@", "_"): r or "" for k, r in zip(frame["seq_id"], frame["row"], strict=True)}
+        root, value = lk.ml_tree(own, protein, replicates, seed)
+        return pd.DataFrame({"tree_id": [frame["aln_id"].iloc[0]], "newick": [tr.text(root)], "log_likelihood": [value]})
+
+    return rows.select("aln_id", "seq_id", "row").groupBy("aln_id").applyInPandas(run, "tree_id string, newick string, log_likelihood double")
+
+
 def species_distances(trees: DataFrame, whole: bool = False) -> DataFrame:
     """a, b, d: mean number of inner nodes between two taxa over all gene trees, the mean per tree first. ``whole`` labels are taxa."""
     import pandas as pd

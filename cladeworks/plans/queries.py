@@ -324,12 +324,12 @@ def align_mafft(spark, d) -> DataFrame:
 
 @query()
 def tree_ml_fast(spark, d) -> DataFrame:
-    return kernels.distance_trees(kernels.align(br.families(spark, d)))
+    return kernels.likelihood_trees(kernels.align(br.families(spark, d)))
 
 
 @query()
 def tree_ml_boot(spark, d) -> DataFrame:
-    return kernels.distance_trees(kernels.align(br.families(spark, d)), replicates=10)
+    return kernels.likelihood_trees(kernels.align(br.families(spark, d)), replicates=1000)
 
 
 @query()
