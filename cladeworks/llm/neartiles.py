@@ -14,7 +14,7 @@ vectors as they were given.
 
 A pair of tiles hands back one row per class that has links there: how many vectors it is linked with, and the first class
 of its group there. So thousands of near copies of one another are as many rows a tile, not their pairs.
-Which rows the rotation comes from changes speed alone; it is fitted to all classes (both x and -x, so that covariance is the second moment).
+The axes are those of the second moments of all classes.
 
 Defined results: a vector that is null, empty, zero or holds a null, NaN or infinite component, or whose label is null, has no links
 and is its own component, kept; vectors of unequal lengths meet as if filled up with zeros; rows that repeat an identifier are vectors of
@@ -46,18 +46,37 @@ def units(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
+def matrix(rows, width: int | None = None) -> np.ndarray:
+    """Vectors as rows, filled up with zeros."""
+    out = np.zeros((len(rows), max(map(len, rows), default=0) if width is None else width))
+    for k, v in enumerate(rows):
+        out[k, : len(v)] = v
+    return out
+
+
 def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
-    """Orthonormal axes as columns, the one that holds most of the squares first. ``classes`` has a column v."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
+    """Orthonormal axes as columns, the one that holds most of the squares first. ``classes`` has a column v.
 
-    rows = classes.select("v", F.array_max(F.transform("v", F.abs)).alias("_m")).select(F.transform("v", lambda x: x / F.col("_m")).alias("_w"))
-    rows = rows.withColumn("_n", F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, x: a + x * x))).select(F.transform("_w", lambda x: x / F.col("_n")).alias("_u"))
-    padded = F.concat("_u", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("_u")))
-    both = rows.select(F.explode(F.array(padded, F.transform(padded, lambda x: -x))).alias("_u"))
-    fitted = PCA(k=width, inputCol="_x", outputCol="_y").fit(both.select(array_to_vector("_u").alias("_x")))
-    axes, _ = np.linalg.qr(fitted.pc.toArray())
-    return axes
+    Every task sums the products of its vectors' components; Spark adds these up, and width (width + 1) / 2 numbers come to the driver.
+    """
+    import pandas as pd
+
+    i, j = np.triu_indices(width)
+
+    def products(frames):
+        total = np.zeros((width, width))
+        for frame in frames:
+            if len(frame):
+                rows = units(matrix(frame["v"], width))
+                total += rows.T @ rows
+        yield pd.DataFrame({"cell": i * width + j, "s": total[i, j]})
+
+    sums = classes.select("v").mapInPandas(products, "cell long, s double").groupBy("cell").agg(F.sum("s").alias("s")).collect()
+    total = np.zeros(width * width)
+    for row in sums:
+        total[row["cell"]] = row["s"]
+    total = total.reshape(width, width)
+    return np.linalg.eigh(np.triu(total) + np.triu(total, 1).T)[1][:, ::-1]
 
 
 def _turned(classes: DataFrame, axes: np.ndarray, reach: float) -> DataFrame:
@@ -69,10 +88,7 @@ def _turned(classes: DataFrame, axes: np.ndarray, reach: float) -> DataFrame:
     def run(frames):
         for frame in frames:
             if len(frame):
-                rows = np.zeros((len(frame), width))
-                for k, v in enumerate(frame["v"]):
-                    rows[k, : len(v)] = v
-                y = units(rows) @ axes
+                y = units(matrix(frame["v"], width)) @ axes
                 cells = np.floor(y[:, :few] / reach).astype(int)
                 out = {"node": frame["node"], "label": frame["label"], "n": frame["n"], "v": frame["v"], "y": list(y)}
                 yield pd.DataFrame(out | {f"c{k}": cells[:, k] if k < few else 0 for k in range(AXES)})
@@ -184,12 +200,6 @@ def _compared(points: DataFrame, meetings: DataFrame, tiles: DataFrame, threshol
         # a tile that meets itself is sent once
         return placed.join(own if n == "a" else own.where(~F.col("same")), match).select("pair", "same", F.lit(n).alias("side"), "node", "n", "v", "y")
 
-    def matrix(rows) -> np.ndarray:
-        out = np.zeros((len(rows), max(map(len, rows), default=0)))
-        for k, v in enumerate(rows):
-            out[k, : len(v)] = v
-        return out
-
     def scaled(rows: np.ndarray) -> np.ndarray:
         """By powers of two, which changes no cosine."""
         return np.ldexp(rows, -np.frexp(np.abs(rows).max(1))[1][:, None])
