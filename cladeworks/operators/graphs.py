@@ -6,26 +6,34 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def cut_lineage(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def shared_folder(spark: SparkSession, what: str) -> str:
+    """A new folder name below the one that the session names in ``spark.checkpoint.dir``.
 
-    Where a session names none, that is a folder below the warehouse, which all executors share too; a session on one
+    Where it names none, below the warehouse folder if that is in a store which all executors reach; a session on one
     machine takes a temporary folder.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base and spark.sparkContext.master.startswith("local"):
         base = "file://" + tempfile.mkdtemp(prefix="cladeworks-")
         spark.sparkContext.setCheckpointDir(base)
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    path = f"{base.rstrip('/')}/cladeworks/{what}-{uuid.uuid4().hex}"
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith(("/", "file:")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"{warehouse.rstrip('/')}/_checkpoints"
+    return f"{base.rstrip('/')}/cladeworks/{what}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = shared_folder(df.sparkSession, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -59,8 +67,8 @@ def components(edges: DataFrame) -> DataFrame:
     return found.select("node", F.coalesce("b", "node").alias("component"))
 
 
-#: Markov clustering, dense and as a table alike: entries below PRUNE of their column's largest are dropped, rounds end when no entry moves by SETTLED.
-PRUNE, MARKOV_ROUNDS, SETTLED = 1e-5, 100, 1e-6
+#: Markov clustering, dense and as a table alike: entries below PRUNE of their column's largest are dropped, rounds end when no entry moves by SETTLED; where some still do after MARKOV_ROUNDS, that is an error.
+PRUNE, MARKOV_ROUNDS, SETTLED = 1e-5, 1000, 1e-6
 
 
 def markov_clusters(matrix: np.ndarray, inflation: float = 1.4, rounds: int = MARKOV_ROUNDS, prune: float = PRUNE) -> list[list[int]]:
@@ -77,6 +85,8 @@ def markov_clusters(matrix: np.ndarray, inflation: float = 1.4, rounds: int = MA
         m = new
         if still:
             break
+    else:
+        raise ValueError(f"not settled after {rounds} rounds")
     linked, left, groups = (m > 0) | (m.T > 0), np.ones(len(m), bool), []
     for x in range(len(m)):
         if left[x]:
@@ -105,6 +115,8 @@ def markov_join(edges: DataFrame, inflation: float = 1.4, rounds: int = MARKOV_R
         m = new
         if moved is None or moved < SETTLED:
             break
+    else:
+        raise ValueError(f"not settled after {rounds} rounds")
     parts = components(m.select(F.col("r").alias("src"), F.col("c").alias("dst")))
     return parts.select(F.col("component").alias("cluster"), F.col("node").alias("seq_id"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, udfs
-from ..operators import hits, joins, kernels, reports, search, species, summaries
+from ..operators import hits, iterations, joins, kernels, reports, search, species, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, SEQUENCES, table
 from .queries import CLADES, query
@@ -181,6 +181,12 @@ def busco_search(spark, d) -> DataFrame:
     return search.busco_search(contigs, proteins)
 
 
+@query()
+def refinement_loop(spark, d) -> DataFrame:
+    """The loop over families of five documents to its end, with cutoffs for texts that far apart: a row a round."""
+    return iterations.refined(br.families(spark, d), trimming={"relative": 1.0, "absolute": 2.0, "least": 3}, masking={"least": 3}, cutting={"longest": 0.2, "least_taxa": 1, "least_piece": 1})[1]
+
+
 @query()
 def hc_mmseqs2(spark, d) -> DataFrame:
     e = hits.edges(br.hits(spark, d), floor=5)
