@@ -198,14 +198,6 @@ def species_distances(trees: DataFrame, whole: bool = False) -> DataFrame:
     return pairs.groupBy("tree_id", "a", "b").agg(F.avg("d").alias("d")).groupBy("a", "b").agg(F.avg("d").alias("d"))
 
 
-def species_tree(trees: DataFrame) -> str:
-    """Newick of the species tree by neighbour joining of :func:`species_distances`, a row a pair of taxa."""
-    from .species import joined_tree
-
-    root = joined_tree(species_distances(trees))
-    return tr.text(root) if root else ";"
-
-
 def branch_observations(species: str, trees: DataFrame, least_support: float = 0.0) -> DataFrame:
     """branch_id, gene_tree_id, length: lengths of the gene trees' branches that meet a branch of the species tree (B<k> in
     walking order), and of shared single tips (T:<label>) once a gene tree."""

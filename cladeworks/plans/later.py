@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, udfs
-from ..operators import hits, iterations, joins, kernels, reports, search, species, summaries
+from ..functions import trees as tr
+from ..operators import graphs, hits, iterations, joins, kernels, quartets, reports, search, species, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, SEQUENCES, table
 from .queries import CLADES, query
@@ -252,6 +253,18 @@ def supermatrix_tree(spark, d) -> DataFrame:
     return spark.createDataFrame([("supermatrix", text)], "tree_id string, newick string")
 
 
+@query()
+def bes_trees(spark, d) -> DataFrame:
+    """The species tree of all families' trees with each statistic of their branches as its lengths, a row a statistic."""
+    trees = kernels.likelihood_trees(kernels.align(br.families(spark, d)))
+    trees = graphs.cut_lineage(trees.select("tree_id", F.regexp_replace("newick", r"_[0-9]+", "").alias("newick")), "gene-trees")
+    root = quartets.species_tree(trees, whole=True)
+    if root is None:
+        return spark.createDataFrame([], "stat string, newick string")
+    text = tr.text(root)
+    return species.branch_trees(text, summaries.branch_stats(kernels.branch_observations(text, trees)))
+
+
 @query()
 def subtree_order(spark, d) -> DataFrame:
     return species.subtree_order(br.gene_trees(spark, d)).select("tree_id", "newick")

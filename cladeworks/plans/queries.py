@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import alignments as al
 from ..functions import scalars
-from ..operators import graphs, hits, joins, kernels, names, search, summaries
+from ..functions import trees as tr
+from ..operators import graphs, hits, joins, kernels, names, quartets, search, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, HITS, SEQUENCES, table
 
@@ -478,8 +479,9 @@ def long_metrics(spark, d) -> DataFrame:
 
 @query()
 def species_tree(spark, d) -> DataFrame:
-    text = kernels.species_tree(kernels.distance_trees(kernels.align(br.families(spark, d))))
-    return spark.createDataFrame([("species", text)], "tree_id string, newick string")
+    trees = graphs.cut_lineage(kernels.likelihood_trees(kernels.align(br.families(spark, d))), "gene-trees")
+    root = quartets.species_tree(trees)
+    return spark.createDataFrame([("species", tr.text(root) if root else ";")], "tree_id string, newick string")
 
 
 @query()
