@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars, udfs
 from ..functions import trees as tr
-from ..operators import graphs, hits, iterations, joins, kernels, quartets, reports, search, species, summaries
+from ..operators import graphs, hits, iterations, joins, kernels, progressive, quartets, reports, search, species, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, SEQUENCES, table
 from .queries import CLADES, query
@@ -182,6 +182,14 @@ def busco_search(spark, d) -> DataFrame:
     return search.busco_search(contigs, proteins)
 
 
+@query()
+def align_prank(spark, d) -> DataFrame:
+    """Families aligned along the trees of a first alignment, insertions left alone."""
+    families = br.families(spark, d)
+    trees = kernels.likelihood_trees(kernels.align(families)).select(F.col("tree_id").alias("aln_id"), "newick")
+    return progressive.aligned(families, insertions=True, trees=trees)
+
+
 @query()
 def refinement_loop(spark, d) -> DataFrame:
     """The loop over families of five documents to its end, with cutoffs for texts that far apart: a row a round."""

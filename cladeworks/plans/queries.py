@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import alignments as al
 from ..functions import scalars
 from ..functions import trees as tr
-from ..operators import graphs, hits, joins, kernels, names, quartets, search, summaries
+from ..operators import graphs, hits, joins, kernels, names, progressive, quartets, search, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, HITS, SEQUENCES, table
 
@@ -320,7 +320,7 @@ def scan_newick(spark, d) -> DataFrame:
 
 @query()
 def align_mafft(spark, d) -> DataFrame:
-    return kernels.align(br.families(spark, d))
+    return progressive.aligned(br.families(spark, d))
 
 
 @query()
