@@ -31,8 +31,10 @@ def genes_to_sequence(members: DataFrame, sequences: DataFrame) -> DataFrame:
     return members.join(sequences.select("seq_id", "sequence"), "seq_id", "left")
 
 
-def ortholog_to_sequence(tips: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Sequences of ortholog tips; a tip in several trees goes to the last tree by identifier."""
+def ortholog_to_sequence(tips: DataFrame, sequences: DataFrame, every: bool = False) -> DataFrame:
+    """Sequences of ortholog tips; a tip in several trees goes to the last tree by identifier, or with ``every`` to each of them."""
+    if every:
+        return tips_to_sequence(tips.select("tree_id", "label").distinct(), sequences)
     last = tips.groupBy("label").agg(F.max("tree_id").alias("tree_id"))
     return tips_to_sequence(last, sequences)
 
@@ -63,10 +65,11 @@ def supertips_to_stem(tips: DataFrame, name_map: DataFrame) -> DataFrame:
 
 
 def species_to_files(species: DataFrame, files: DataFrame) -> DataFrame:
-    """node, source_file: files whose normalised stem, or its part before the first dot, is the node's name."""
+    """node, source_file: files whose normalised name is the node's: the stem, what stands before the first dot, or the stem without
+    ``_busco_renamed`` or without ``_busco``."""
     clean = lambda c: F.lower(F.regexp_replace(c, r"[^A-Za-z0-9]+", "_"))
     stem = F.regexp_replace(F.col("source_file"), r"\.[^.]*$", "")
-    keys = files.select("source_file", F.explode(F.array_distinct(F.array(clean(stem), clean(F.split_part("source_file", F.lit("."), F.lit(1)))))).alias("_k"))
+    keys = files.select("source_file", F.explode(F.array_distinct(F.array(clean(stem), clean(F.split_part("source_file", F.lit("."), F.lit(1))), clean(F.replace(stem, F.lit("_busco_renamed"), F.lit(""))), clean(F.replace(stem, F.lit("_busco"), F.lit("")))))).alias("_k"))
     return species.withColumn("_k", clean(F.col("node"))).join(keys, "_k").select("node", "source_file").distinct()
 
 

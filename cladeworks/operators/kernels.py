@@ -102,6 +102,16 @@ def prune_orthologs(trees: DataFrame, least: int = 4, **trimming) -> DataFrame:
     return _each(trees, kernel)
 
 
+def rooted_orthologs(trees: DataFrame) -> DataFrame:
+    """Rooted trees split at duplications until no taxon is in a piece twice."""
+
+    def kernel(root, _):
+        for k, piece in enumerate(tr.rooted_orthologs(root), 1):
+            yield k, piece, "ortholog"
+
+    return _each(trees, kernel)
+
+
 def route(results: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
     """(trees that are done, trees for the next iteration): changed ones go round again, except that the last iteration ends with those unchanged."""
     kept = results.where(F.col("newick").isNotNull())

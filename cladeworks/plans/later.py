@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars, udfs
 from ..functions import trees as tr
-from ..operators import graphs, hits, iterations, joins, kernels, progressive, quartets, reports, search, species, summaries
+from ..operators import clusters, graphs, hits, iterations, joins, kernels, progressive, quartets, reports, search, species, splits, summaries
 from . import bridges as br
 from .bridges import ALIGNMENTS, SEQUENCES, table
 from .queries import CLADES, query
@@ -295,3 +295,79 @@ def tree_functions(spark, d) -> DataFrame:
 def tree_to_alignment(spark, d) -> DataFrame:
     n = table(spark, d, "nation").where("n_regionkey < 3").select(F.explode(F.array(*(F.concat(F.col("n_nationkey").cast("string"), F.lit(f"-{k}")) for k in (0, 1)))).alias("aln_id"))
     return joins.tree_to_alignment(br.gene_trees(spark, d), n)[0].select("tree_id", F.lit(True).alias("has"))
+
+
+# -- branches, levels, support ------------------------------------------------
+
+
+def _nation_trees(spark, d) -> DataFrame:
+    """tree_id, newick: a tree a market segment, nations as tips, in clades by their customers' number."""
+    c = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("tree_id"), "c_nationkey").agg((F.count("*") % 4).alias("k"))
+    tip = F.concat(F.lit("N"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
+    clades = c.groupBy("tree_id", "k").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(tip)), ","), F.lit("):0.5")).alias("clade"))
+    return clades.groupBy("tree_id").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("clade")), ","), F.lit(");")).alias("newick"))
+
+
+NATION_SPLITS = """t as (select c_mktsegment as tree_id, c_nationkey, count(*) % 4 as k from customer group by 1, 2),
+  b as (select tree_id, k, cast(sum(1::bigint << n.r) as bigint) as below from t join (select c_nationkey, row_number() over (order by lpad(cast(c_nationkey as varchar), 2, '0')) - 1 as r from (select distinct c_nationkey from customer)) n using (c_nationkey) group by 1, 2),
+  w as (select *, cast(sum(below) over (partition by tree_id) as bigint) - below as beside from b)"""
+
+
+@query(f"""with {NATION_SPLITS}, f as (select * from w where tree_id = (select min(tree_id) from w))
+  select f.below as few, w.tree_id, w.below as many, (f.below = w.below and f.beside = w.beside) or (f.below = w.beside and f.beside = w.below) as same,
+         (f.below & w.below) <> 0 and (f.below & w.beside) <> 0 and (f.beside & w.below) <> 0 and (f.beside & w.beside) <> 0 as conflict from f, w where w.tree_id <> f.tree_id""")
+def bipart_algebra(spark, d) -> DataFrame:
+    """The branches of the first segment's tree against those of all others."""
+    found, _ = splits.branches(_nation_trees(spark, d), whole=True)
+    found = graphs.cut_lineage(found, "branches")
+    first = found.agg(F.min("tree_id")).first()[0]
+    of = lambda t, node, name: found.select(F.col("tree_id").alias(t), F.col("node_id").alias(node), F.col("below")[0].alias(name))
+    pairs = splits.related(found.where(F.col("tree_id") == first), found.where(F.col("tree_id") != first))
+    return pairs.join(of("few_id", "few_node", "few"), ["few_id", "few_node"]).join(of("tree_id", "node_id", "many"), ["tree_id", "node_id"]).select("few", "tree_id", "many", "same", "conflict")
+
+
+@query("""with recursive e as (select 'R' || cast(r_regionkey as varchar) as id, 'ROOT' as parent from region union all select 'N' || cast(n_nationkey as varchar), 'R' || cast(n_regionkey as varchar) from nation
+  union all select 'C' || cast(c_custkey as varchar), 'N' || cast(c_nationkey as varchar) from customer),
+  u as (select id as node, 0 as level from e where id not in (select parent from e) union select e.parent, u.level + 1 from u join e on e.id = u.node)
+  select u.node, cast(max(level) as int) as level, any_value(p.parts) as parts from u join (select parent, list_sort(list(id)) as parts from e group by 1) p on p.parent = u.node group by 1""")
+def hc_steps(spark, d) -> DataFrame:
+    label = lambda k, c: F.concat(F.lit(k), F.col(c).cast("string"))
+    parents = table(spark, d, "region").select(label("R", "r_regionkey").alias("id"), F.lit("ROOT").alias("parent"))
+    parents = parents.union(table(spark, d, "nation").select(label("N", "n_nationkey"), label("R", "n_regionkey"))).union(table(spark, d, "customer").select(label("C", "c_custkey"), label("N", "c_nationkey")))
+    return splits.hierarchy_steps(parents)
+
+
+@query("select cast(l_suppkey as varchar) as tree_id from lineitem group by 1 having avg(case when l_linenumber > 1 then case when l_returnflag = 'N' then l_quantity else 0 end end) >= 8.5 or count(*) filter (l_linenumber > 1) = 0")
+def boot_filter(spark, d) -> DataFrame:
+    """Suppliers as trees, their lines as clades with quantities as support; labels that are no numbers count as 0."""
+    li = table(spark, d, "lineitem")
+    label = F.when(F.col("l_returnflag") == "N", F.col("l_quantity").cast("string")).otherwise(F.col("l_returnflag"))
+    nodes = li.select(F.col("l_suppkey").cast("string").alias("tree_id"), F.when(F.col("l_linenumber") > 1, 0).alias("parent_id"), F.lit(False).alias("is_tip"), label.alias("label"))
+    return joins.support_filter(nodes, 8.5)
+
+
+@query("select distinct cast(l_suppkey as varchar) as tree_id, p_brand || '_' || cast(p_partkey as varchar) as label, p_name as sequence from lineitem join part on l_partkey = p_partkey")
+def ortholog_to_sequences(spark, d) -> DataFrame:
+    """As ortholog_to_sequence, but a tip goes to each of its trees."""
+    p = table(spark, d, "part")
+    tips = table(spark, d, "lineitem").join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").cast("string").alias("tree_id"), F.concat_ws("_", "p_brand", F.col("p_partkey").cast("string")).alias("label"))
+    sequences = p.select(F.concat("p_brand", F.lit("@"), F.col("p_partkey").cast("string")).alias("seq_id"), F.col("p_name").alias("sequence"))
+    return joins.ortholog_to_sequence(tips, sequences, every=True)
+
+
+@query()
+def ortholog_rt(spark, d) -> DataFrame:
+    """Gene trees split at their duplications."""
+    return kernels.rooted_orthologs(br.gene_trees(spark, d))
+
+
+@query()
+def hc_centroids(spark, d) -> DataFrame:
+    """Centroid clusters of all sequences by aligned columns, on both strands."""
+    return clusters.centroid_clusters(br.families(spark, d).select("seq_id", "sequence"))
+
+
+@query()
+def hc_set_cover(spark, d) -> DataFrame:
+    """Set-cover clusters of all sequences by identity and coverage."""
+    return clusters.set_cover_clusters(br.families(spark, d).select("seq_id", "sequence"))
