@@ -1,4 +1,4 @@
-"""Tree and sequence functions on a session, for SQL: one Arrow batch at a time."""
+"""Tree and sequence functions on a session, for SQL: one Arrow batch at a time; table functions give rows of trees and families."""
 
 import pandas as pd
 from pyspark.sql import SparkSession
@@ -41,8 +41,65 @@ FUNCTIONS = {
 }
 
 
+class TreeNodes:
+    """Rows of a tree's clades, parts before wholes; none for a text that can't be read."""
+
+    def eval(self, newick: str):
+        try:
+            root = tr.parse(newick) if newick else None
+        except (ValueError, RecursionError):
+            return
+        number = {}
+        for k, (clade, _) in enumerate(root.walk() if root else ()):
+            number[id(clade)] = k
+        for clade, parent in root.walk() if root else ():
+            yield number[id(clade)], number[id(parent)] if parent is not None else None, clade.label, float(clade.length), clade.tip
+
+
+class TreeSplits:
+    """The inner branches of a tree: sorted taxa below and beside each."""
+
+    def eval(self, newick: str):
+        try:
+            root = tr.parse(newick) if newick else None
+        except (ValueError, RecursionError):
+            return
+        every = set(root.labels()) if root else set()
+        for clade, parent in root.walk() if root else ():
+            if parent is not None and not clade.tip:
+                below = set(clade.labels())
+                yield sorted(below), sorted(every - below), float(clade.length), clade.label
+
+
+class FamilyAlignment:
+    """Aligned rows of a partition of (seq_id, sequence); the partition is one family."""
+
+    def __init__(self):
+        self.family = {}
+
+    def eval(self, row):
+        self.family[row["seq_id"]] = row["sequence"] or ""
+
+    def terminate(self):
+        from .phylogeny import align_star
+
+        yield from align_star(self.family).items()
+
+
+#: Name, class, columns of each table function.
+TABLE_FUNCTIONS = {
+    "tree_nodes": (TreeNodes, "node_id int, parent_id int, label string, length double, is_tip boolean"),
+    "tree_splits": (TreeSplits, "below array<string>, beside array<string>, length double, label string"),
+    "family_alignment": (FamilyAlignment, "seq_id string, row string"),
+}
+
+
 def register(spark: SparkSession) -> list[str]:
-    """Puts :data:`FUNCTIONS` on the session and returns their names."""
+    """Puts :data:`FUNCTIONS` and :data:`TABLE_FUNCTIONS` on the session and returns their names."""
+    from pyspark.sql.functions import udtf
+
     for name, (function, returns) in FUNCTIONS.items():
         spark.udf.register(name, _on_trees(function, returns))
-    return list(FUNCTIONS)
+    for name, (made, returns) in TABLE_FUNCTIONS.items():
+        spark.udtf.register(name, udtf(made, returnType=returns))
+    return [*FUNCTIONS, *TABLE_FUNCTIONS]

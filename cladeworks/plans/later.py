@@ -371,3 +371,33 @@ def hc_centroids(spark, d) -> DataFrame:
 def hc_set_cover(spark, d) -> DataFrame:
     """Set-cover clusters of all sequences by identity and coverage."""
     return clusters.set_cover_clusters(br.families(spark, d).select("seq_id", "sequence"))
+
+
+# -- table functions, from SQL -------------------------------------------------
+
+
+@query(f"""with {TIPS}, c as (select tree_id, split_part(label, '_', 1) as seg, count(*) as n from x group by 1, 2)
+  select tree_id, cast(sum(n) as bigint) as tips, cast(count(*) filter (n > 1) + 1 as bigint) as inner_nodes from c group by 1""")
+def tree_nodes(spark, d) -> DataFrame:
+    udfs.register(spark)
+    br.gene_trees(spark, d).createOrReplaceTempView("cladeworks_trees")
+    return spark.sql("select tree_id, count_if(n.is_tip) as tips, count_if(not n.is_tip) as inner_nodes from cladeworks_trees t, lateral tree_nodes(t.newick) n group by tree_id")
+
+
+@query(f"""with {TIPS}, c as (select tree_id, split_part(label, '_', 1) as seg, list_sort(list(label)) as below from x group by 1, 2)
+  select c.tree_id, c.below, cast((select count(*) from x where x.tree_id = c.tree_id) - len(c.below) as int) as others from c where len(c.below) > 1""")
+def tree_splits(spark, d) -> DataFrame:
+    udfs.register(spark)
+    br.gene_trees(spark, d).createOrReplaceTempView("cladeworks_trees")
+    return spark.sql("select tree_id, s.below, size(s.beside) as others from cladeworks_trees t, lateral tree_splits(t.newick) s")
+
+
+@query(f"with {SEQUENCES}, f as (select ordinal // 5 as aln, seq_name, sequence from s where length(sequence) > 0) select seq_name as seq_id, cast(length(sequence) as int) as letters, true as even from f")
+def family_alignment(spark, d) -> DataFrame:
+    """Families aligned by a table function over partitions: a row a sequence, its letters, and whether its row is as long as its family's others."""
+    udfs.register(spark)
+    br.families(spark, d).createOrReplaceTempView("cladeworks_families")
+    rows = spark.sql("select * from family_alignment(table(select aln_id, seq_id, sequence from cladeworks_families) partition by aln_id)")
+    own = rows.join(br.families(spark, d).select("aln_id", "seq_id"), "seq_id")
+    widths = own.groupBy("aln_id").agg((F.count_distinct(F.length("row")) == 1).alias("even"))
+    return own.join(widths, "aln_id").select("seq_id", F.length(F.replace("row", F.lit("-"), F.lit(""))).alias("letters"), "even")
