@@ -257,7 +257,7 @@ def supermatrix_counts(spark, d) -> DataFrame:
 
 @query()
 def supermatrix_tree(spark, d) -> DataFrame:
-    text = species.supermatrix_tree(br.alignments(spark, d), hits.taxon_of(F.col("seq_id")), states=20, replicates=10)
+    text = species.supermatrix_tree(br.alignments(spark, d), hits.taxon_of(F.col("seq_id")), states=20, replicates=1000)
     return spark.createDataFrame([("supermatrix", text)], "tree_id string, newick string")
 
 
