@@ -33,7 +33,16 @@ def cut_lineage(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = shared_folder(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._folder = path
+    return kept
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the folder of a table of :func:`cut_lineage` that nothing will read any more."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -58,7 +67,9 @@ def components(edges: DataFrame) -> DataFrame:
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     links, seen = cut_lineage(ordered(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))), "star"), None
     while True:
-        links = cut_lineage(ordered(_star(ordered(_star(links, True)), False)), "star")
+        new = cut_lineage(ordered(_star(ordered(_star(links, True)), False)), "star")
+        forget(links)
+        links = new
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             break
@@ -112,6 +123,7 @@ def markov_join(edges: DataFrame, inflation: float = 1.4, rounds: int = MARKOV_R
         square = a.join(b, F.col("a.c") == F.col("b.r")).groupBy(F.col("a.r").alias("r"), F.col("b.c").alias("c")).agg(F.sum(F.col("a.w") * F.col("b.w")).alias("w"))
         new = cut_lineage(shares(inflated(square).where(F.col("w") >= prune)), "flow")
         moved = new.select("r", "c", F.col("w").alias("v")).join(m, ["r", "c"], "full").agg(F.max(F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("w", F.lit(0.0))))).first()[0]
+        forget(m)
         m = new
         if moved is None or moved < SETTLED:
             break
