@@ -190,15 +190,13 @@ def test_infilling_edges(spark):
 # -- tables that are deleted -------------------------------------------------
 
 
-def test_tables_are_deleted(spark):
+def test_tables_are_deleted(spark, tmp_path, monkeypatch):
     """Only a query's result is left in the shared folder."""
-    from pathlib import Path
-
-    folder = Path(common.shared_dir(spark, "x").removeprefix("file:")).parent
     for name in ("op11_crc_resampling", "op12_pca_tiles"):
-        before = {p.name for p in folder.glob("*")}
+        number = iter(range(1000))
+        monkeypatch.setattr(common, "shared_dir", lambda _, what, name=name, number=number: f"file://{tmp_path}/{name}/{what}-{next(number)}")
         __spark_entry__.queries()[name](spark, SF)
-        assert len({p.name for p in folder.glob("*")} - before) == 1
+        assert len(list((tmp_path / name).glob("*"))) == 1 < next(number)
 
 
 def test_scopes_are_per_thread(spark):
