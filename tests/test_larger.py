@@ -56,3 +56,54 @@ def test_small_families_are_dealt_to_all_parts(spark):
     assert aligned.select(F.spark_partition_id()).distinct().count() > 1
     assert kernels.likelihood_trees(aligned).select(F.spark_partition_id()).distinct().count() > 1
     assert kernels.distance_trees(aligned).count() == 40
+
+
+def test_trees_of_many_tips_are_edited_in_little_time():
+    import time
+
+    from cladeworks.functions import trees as tr
+
+    clades = ["(" + ",".join(f"S{s}_{s * 500 + k}:0.1" for k in range(500)) + "):0.01" for s in range(5)]
+    text = f"({','.join(clades)});"
+    start = time.process_time()
+    masked = tr.mask(tr.parse(text), {"S2_1007": 3}, 4, True)
+    assert sorted(tr.taxa(masked)) == [f"S{k}" for k in range(5)] and len(masked.tips()) == 5 and "S2_1007" in masked.labels()
+    assert tr.maximum_inclusion(tr.parse(text)) == []
+    pieces = tr.rooted_orthologs(tr.parse(text))
+    assert sorted(x for p in pieces for x in p.labels()) == sorted(tr.parse(text).labels())
+    assert time.process_time() - start < 3
+
+
+def test_sides_count_labels_that_are_on_both():
+    from cladeworks.functions import trees as tr
+
+    root = tr.parse("((a_1,b_1),(a_1,c_1),d_1);")
+    sides = {tr.text(c): (front, back) for c, front, back in tr._sides(root)}
+    # the other a_1 has the label of one below, so it isn't counted beside
+    assert sides["(a_1:0,b_1:0);"] == (2, 2) and sides["d_1;"] == (1, -1)
+
+
+def test_distances_of_large_trees_make_no_pairs_of_tips(spark):
+    text = "(" + ",".join(f"{'ab'[k % 2]}_{k}" for k in range(8000)) + ",(a_x,b_x));"
+    d = kernels.species_distances(spark.createDataFrame([("t", text), ("u", "(a_1,(b_1,b_2));")], "tree_id string, newick string")).collect()
+    # t: 4000 * 4000 pairs at 1, 2 * 4000 at 2, one at 1; u: 2 and 2
+    want = (16_000_000 + 16_000 + 1) / (16_000_000 + 8_000 + 1)
+    assert len(d) == 1 and (d[0]["a"], d[0]["b"]) == ("a", "b") and abs(d[0]["d"] - (want + 2) / 2) < 1e-12
+
+
+def test_trees_are_dealt_and_leave_in_some_rows_at_a_time(spark):
+    trees = spark.createDataFrame([(f"t{k}", "(" + ",".join(f"a_{j}" for j in range(300)) + ");") for k in range(40)], "tree_id string, newick string").coalesce(1)
+    nodes = kernels.nodes(trees)
+    assert nodes.select(F.spark_partition_id()).distinct().count() > 1
+    assert nodes.count() == 40 * 301 and nodes.where("is_tip").count() == 40 * 300
+
+
+def test_type_is_told_from_texts_that_are_not_put_in_order(spark):
+    from cladeworks.operators import alignments as al
+
+    rows = spark.createDataFrame([(2, "x", "ACGTE"), (1, "y", "AC GT" * 3), (0, "z", None), (1, "a", "--")], "ordinal long, seq_name string, sequence string")
+    assert [r.seq_type for r in al.detect_type(rows, 16).collect()] == ["nuc"]
+    assert [r.seq_type for r in al.detect_type(rows, 17).collect()] == ["aa"]
+    assert al.detect_type(rows.where("ordinal = 0"), 17).collect() == []
+    plan = al.detect_type(rows, 17)._jdf.queryExecution().executedPlan().toString()
+    assert all("_s#" not in line.split("output=")[-1] for line in plan.splitlines() if "TakeOrderedAndProject" in line)
