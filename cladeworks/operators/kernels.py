@@ -19,26 +19,48 @@ RESULT = "tree_id string, piece int, newick string, leaves_before int, leaves_af
 
 
 def _each(trees: DataFrame, kernel: Callable[[tr.Clade, dict], Iterable[tuple[int, tr.Clade | None, str]]], extra: tuple[str, ...] = ()) -> DataFrame:
-    import pandas as pd
+    """RESULT of the kernel for each tree; trees are dealt to all parts, and of a batch only one is ever held as clades."""
 
-    names = [x.split()[0] for x in RESULT.split(",")]
+    def run(row):
+        before = 0
+        try:
+            root = tr.parse(row["newick"] or "")
+            before, old = len(root.tips()), sorted(root.labels())
+            for piece, tree, status in kernel(root, row):
+                yield row["tree_id"], piece, tr.text(tree) if tree else None, before, len(tree.tips()) if tree else 0, tree is None or sorted(tree.labels()) != old, status, None
+        except (ValueError, RecursionError) as e:
+            yield row["tree_id"], 0, None, before, 0, False, "error", str(e)
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for row in frame.to_dict("records"):
-                before = 0
-                try:
-                    root = tr.parse(row["newick"] or "")
-                    before, old = len(root.tips()), sorted(root.labels())
-                    for piece, tree, status in kernel(root, row):
-                        after = len(tree.tips()) if tree else 0
-                        out.append((row["tree_id"], piece, tr.text(tree) if tree else None, before, after, tree is None or sorted(tree.labels()) != old, status, None))
-                except (ValueError, RecursionError) as e:
-                    out.append((row["tree_id"], 0, None, before, 0, False, "error", str(e)))
-            yield pd.DataFrame(out, columns=names)
+    return _rows_of(trees.select("tree_id", "newick", *extra), run, RESULT)
+
+
+#: Rows that leave a tree's kernel at once.
+ROWS = 5000
+
+
+def _rows_of(trees: DataFrame, kernel: Callable[[dict], Iterable[tuple]], schema: str) -> DataFrame:
+    """The rows of ``kernel`` for each row of (tree_id, newick, ...), which is made an object by itself; what leaves it is some rows at a time."""
+    import pyarrow as pa
+
+    arrow = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+    types = pa.schema([(x.split()[0], arrow[x.split()[1]]) for x in schema.split(", ")])
 
-    return trees.select("tree_id", "newick", *extra).mapInPandas(run, RESULT)
+    def run(batches):
+        out = []
+        ready = lambda: pa.RecordBatch.from_pydict({n: [r[k] for r in out] for k, n in enumerate(types.names)}, types)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {n: batch.column(k)[at].as_py() for k, n in enumerate(batch.schema.names)}
+                for found in kernel(row):
+                    out.append(found)
+                    if len(out) == ROWS:
+                        yield ready()
+                        out = []
+            if out:
+                yield ready()
+                out = []
+
+    return dealt(trees, "tree_id").mapInArrow(run, schema)
 
 
 def trim_tips(trees: DataFrame, relative: float = 0.2, absolute: float = 0.3, ratio: float = 20.0, passes: int = 10, least: int = 4) -> DataFrame:
@@ -121,26 +143,20 @@ def route(results: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
 
 def nodes(trees: DataFrame) -> DataFrame:
     """tree_id, node_id, parent_id, child_pos, label, length, is_tip of every clade, parents first."""
-    import pandas as pd
-
     schema = "tree_id string, node_id int, parent_id int, child_pos int, label string, length double, is_tip boolean"
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for tree_id, newick in zip(frame["tree_id"], frame["newick"], strict=True):
-                try:
-                    stack, n = [(tr.parse(newick or ""), None, 0)], 0
-                except ValueError:
-                    continue
-                while stack:
-                    clade, parent, pos = stack.pop()
-                    out.append((tree_id, n, parent, pos, clade.label, clade.length, clade.tip))
-                    stack.extend((p, n, k) for k, p in reversed(list(enumerate(clade.parts))))
-                    n += 1
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")]).astype({"parent_id": "Int32"})
+    def run(row):
+        try:
+            stack, n = [(tr.parse(row["newick"] or ""), None, 0)], 0
+        except ValueError:
+            return
+        while stack:
+            clade, parent, pos = stack.pop()
+            yield row["tree_id"], n, parent, pos, clade.label, clade.length, clade.tip
+            stack.extend((p, n, k) for k, p in reversed(list(enumerate(clade.parts))))
+            n += 1
 
-    return trees.select("tree_id", "newick").mapInPandas(run, schema)
+    return _rows_of(trees.select("tree_id", "newick"), run, schema)
 
 
 def _families(rows: DataFrame, column: str, kernel: Callable[[str, list[str], list[str]], Iterable[tuple]], schema: str) -> DataFrame:
@@ -211,31 +227,39 @@ def likelihood_trees(rows: DataFrame, replicates: int = 0, protein: bool = False
 
 
 def species_distances(trees: DataFrame, whole: bool = False) -> DataFrame:
-    """a, b, d: mean number of inner nodes between two taxa over all gene trees, the mean per tree first. ``whole`` labels are taxa."""
-    import pandas as pd
+    """a, b, d: mean number of inner nodes between two taxa over all gene trees, the mean per tree first. ``whole`` labels are taxa.
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for tree_id, newick in zip(frame["tree_id"], frame["newick"], strict=True):
-                try:
-                    root = tr.parse(newick or "")
-                except ValueError:
-                    continue
-                below: dict[int, list[tuple[str, int]]] = {}
-                for clade, _ in root.walk():
-                    if clade.tip:
-                        below[id(clade)] = [(clade.label if whole else tr.taxon(clade.label), 0)]
-                        continue
-                    parts = [below.pop(id(p)) for p in clade.parts]
-                    for i in range(len(parts)):
-                        for j in range(i):
-                            out += [(tree_id, min(a, b), max(a, b), x + y + 1) for a, x in parts[i] for b, y in parts[j] if a != b]
-                    below[id(clade)] = [(a, x + 1) for p in parts for a, x in p]
-            yield pd.DataFrame(out, columns=["tree_id", "a", "b", "d"])
-
-    pairs = trees.select("tree_id", "newick").mapInPandas(run, "tree_id string, a string, b string, d int")
-    return pairs.groupBy("tree_id", "a", "b").agg(F.avg("d").alias("d")).groupBy("a", "b").agg(F.avg("d").alias("d"))
+    A clade holds a count and a sum of depths a taxon, so a tree leaves a row a pair of taxa and its pairs of tips are never made.
+    """
+
+    def run(row):
+        try:
+            root = tr.parse(row["newick"] or "")
+        except ValueError:
+            return
+        below: dict[int, dict[str, tuple[int, int]]] = {}
+        pairs: dict[tuple[str, str], list[int]] = {}
+        for clade, _ in root.walk():
+            if clade.tip:
+                below[id(clade)] = {clade.label if whole else tr.taxon(clade.label): (1, 0)}
+                continue
+            seen: dict[str, tuple[int, int]] = {}
+            for part in clade.parts:
+                own = below.pop(id(part))
+                for a, (n, x) in own.items():
+                    for b, (m, y) in seen.items():
+                        if a != b:
+                            found = pairs.setdefault((min(a, b), max(a, b)), [0, 0])
+                            found[0] += n * m
+                            found[1] += x * m + y * n + n * m
+                for a, (n, x) in own.items():
+                    m, y = seen.get(a, (0, 0))
+                    seen[a] = n + m, x + y
+            below[id(clade)] = {a: (n, x + n) for a, (n, x) in seen.items()}
+        yield from ((row["tree_id"], a, b, n, x) for (a, b), (n, x) in pairs.items())
+
+    pairs = _rows_of(trees.select("tree_id", "newick"), run, "tree_id string, a string, b string, n long, d long")
+    return pairs.groupBy("tree_id", "a", "b").agg((F.sum("d") / F.sum("n")).alias("d")).groupBy("a", "b").agg(F.avg("d").alias("d"))
 
 
 def branch_observations(species: str, trees: DataFrame, least_support: float = 0.0) -> DataFrame:
