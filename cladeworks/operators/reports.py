@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .summaries import exact_mean
+
 
 def of(stage: str, metric: str) -> Column:
     """The value of a metric in a group of metrics; null if it has none."""
@@ -133,7 +135,7 @@ def pipeline_summary(metrics: DataFrame, trees: DataFrame, support: DataFrame) -
     timed = F.col("stage").isin("mafft", "tree") & (F.col("metric") == "time")
     rounds = iterations.agg(F.count_distinct("iteration").alias("total_iterations"), F.round(F.coalesce(F.sum(F.when(timed, F.col("value"))), F.lit(0.0)), 2).alias("iteration_time"))
     genes = trees.agg(F.round(F.avg("log_likelihood"), 4).alias("mean_gene_tree_log_likelihood"), F.round(F.avg("total_tree_length"), 6).alias("mean_gene_tree_length"), F.round(F.avg("pct_parsimony_informative"), 2).alias("mean_pct_parsimony_informative"))
-    branches = support.groupBy("branch_id").agg(F.avg("value").alias("_m"))
+    branches = support.groupBy("branch_id").agg(exact_mean(F.col("value")).alias("_m"))
     branches = branches.agg(F.round(F.avg("_m"), 6).alias("astral_mean_branch_support"), F.round(F.count_if(F.col("_m") > 0.95) * 100.0 / F.count("*"), 2).alias("astral_pct_branches_gt_0_95"))
     row = whole
     for other in (rounds, genes, branches):  # one row each

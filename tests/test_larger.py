@@ -1,5 +1,7 @@
 """What larger tables need: work that is dealt to all parts, and steps that grow no faster than their input."""
 
+import functools
+import operator
 import random
 
 from pyspark.sql import functions as F
@@ -107,3 +109,21 @@ def test_type_is_told_from_texts_that_are_not_put_in_order(spark):
     assert al.detect_type(rows.where("ordinal = 0"), 17).collect() == []
     plan = al.detect_type(rows, 17)._jdf.queryExecution().executedPlan().toString()
     assert all("_s#" not in line.split("output=")[-1] for line in plan.splitlines() if "TakeOrderedAndProject" in line)
+
+
+def test_means_at_a_bound_do_not_depend_on_the_order(spark):
+    from cladeworks.operators import summaries
+
+    rng, values = random.Random(1), [0.14, 0.66] * 12 + [0.02, 0.78] * 3 + [0.4] * 2
+    rows = []
+    for k in range(40):
+        rng.shuffle(values)
+        rows += [(k, x) for x in values]
+    # means are 0.4 exactly; as doubles some orders sum to less
+    few = sum(functools.reduce(operator.add, [x for b, x in rows if b == k]) / len(values) < 0.4 for k in range(40))
+    assert few > 0
+    got = summaries.support_overall(spark.createDataFrame(rows, "branch_id int, value double").coalesce(1), 0.7, 0.4).first()
+    assert (got["branches"], got["low"], got["high"], got["mean"], got["min"], got["max"]) == (40, 0, 0, 0.4, 0.4, 0.4)
+    odd = spark.createDataFrame([(1, float("inf")), (1, 1.0), (2, None), (3, 2e9), (4, 0.5)], "branch_id int, value double")
+    got = {r.branch_id: r.m for r in odd.groupBy("branch_id").agg(summaries.exact_mean(F.col("value")).alias("m")).collect()}
+    assert got == {1: float("inf"), 2: None, 3: 2e9, 4: 0.5}
