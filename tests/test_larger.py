@@ -127,3 +127,14 @@ def test_means_at_a_bound_do_not_depend_on_the_order(spark):
     odd = spark.createDataFrame([(1, float("inf")), (1, 1.0), (2, None), (3, 2e9), (4, 0.5)], "branch_id int, value double")
     got = {r.branch_id: r.m for r in odd.groupBy("branch_id").agg(summaries.exact_mean(F.col("value")).alias("m")).collect()}
     assert got == {1: float("inf"), 2: None, 3: 2e9, 4: 0.5}
+
+
+def test_profiles_align_alike_however_much_is_held(monkeypatch):
+    from cladeworks.functions import profiles as pf
+
+    rng = random.Random(2)
+    a, b = (pf.one_row("".join(rng.choices("ACGT", k=k)), False) for k in (90, 70))
+    whole = pf.align_profiles(a, b, 1, 1)
+    monkeypatch.setattr(pf, "HELD", 0)
+    parts = pf.align_profiles(a, b, 1, 1)
+    assert all((x == y).all() for x, y in zip(whole[:2], parts[:2], strict=True)) and whole[2] == parts[2]
