@@ -1,6 +1,8 @@
 """Queries that SQL doesn't express, against brute force over small tables; and cases that a bound once cut off."""
 
+import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -188,6 +190,16 @@ def test_decontamination_against_brute_force(spark):
     assert {(3, 0), (4, 0), (5, 1), (6, 2), (7, 3), (8, 4), (10, 4), (12, 6)} <= found and (9, 4) not in found and not {(16, 0), (18, 0)} & found
 
 
+def test_windows_of_a_long_text(spark):
+    """Work grows with a text's windows, not with their square, and each form of each window comes out."""
+    r = random.Random(5)
+    text = " ".join(r.choice(["Red", "blue", "7", "kg", f"w{r.randint(1, 10**6)}", "Name"]) for _ in range(60_000))
+    began = time.time()
+    rows = decontaminate._windows_of(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"], "_pos").groupBy("_pos").count().collect()
+    assert len(rows) == 60_000 - decontaminate.WINDOW + 1 and {x["count"] for x in rows} <= {1, 2, 3}
+    assert time.time() - began < 15
+
+
 def test_decontamination_on_whole_table(spark):
     items = duckdb.sql(f"select item_id, text from '{SF}/benchmark.parquet'").fetchall()
     found = decontaminate.op3_template_decontamination(spark, SF).collect()
