@@ -28,14 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BLANK, hashes_of, mix64, shared_dir, small, table, text_bytes, words_in, written
+from .common import BLANK, batches_of, hashes_of, mix64, shared_dir, small, table, text_bytes, words_in, written
 from .files import reading, writing
 
 MAGIC = b"CWSST001"
 FOOTER = struct.Struct("<QQQQQQI8s")
 RESTART, BLOCK_BYTES, END_ID = 16, 1 << 18, 1
 BITS_PER_KEY, PROBES = 10, 7
-CACHE_WORDS = 3_000_000
+#: Words that a worker keeps the identifiers of (it takes several times their bytes while it learns more), bytes of text that are
+#: encoded at once, and bytes of rows that Spark hands to a worker at once.
+CACHE_WORDS, SLICE_BYTES, BATCH_BYTES = 500_000, 1 << 18, 4 << 20
 #: Bytes of text a shard, and the least for which a session of many cores makes more shards.
 SHARD_BYTES, LEAST_BYTES = 128 << 20, 4 << 20
 DOC = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -313,7 +315,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
                 _, offsets = text_bytes(b.column(1))
                 at = 0
                 while at < b.num_rows:
-                    to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1)
+                    to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1)
                     ids, cut = encode(*text_bytes(b.column(1).slice(at, to - at)))
                     for doc_id, x, y in zip(b.column(0).slice(at, to - at).to_pylist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                         writer.add(doc_id, np.append(ids[x:y], np.uint32(END_ID)))
@@ -351,7 +353,8 @@ def read_shards(shards: DataFrame) -> DataFrame:
 
 def tokens_written(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Writes all documents as shards and reads them back: doc_id, start, n_tokens, ids_crc32."""
-    shards = written(write_shards(docs, shared_dir(docs.sparkSession, "sst"), vocabulary), "sst-files")
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        shards = written(write_shards(docs, shared_dir(docs.sparkSession, "sst"), vocabulary), "sst-files")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = shards.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("_before"))
     docs = read_shards(shards.repartition(max(1, shards.count())))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cladeworks.llm import decontaminate, linkgraph, mixing, ngramjoin, sstable, suffixdedup, surrogates, topk, toxicity
+from cladeworks.llm import common, decontaminate, linkgraph, mixing, ngramjoin, sstable, suffixdedup, surrogates, topk, toxicity
 
 from .test_contracts import SF, brute_classes, brute_cut, rows_of
 
@@ -190,6 +190,20 @@ def test_decontamination_against_brute_force(spark):
     assert {(3, 0), (4, 0), (5, 1), (6, 2), (7, 3), (8, 4), (10, 4), (12, 6)} <= found and (9, 4) not in found and not {(16, 0), (18, 0)} & found
 
 
+def test_tokens_take_texts_in_small_batches(spark, monkeypatch):
+    """A worker gets a few MB of texts at once, and the session's own setting stands again afterwards."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, write = spark.conf.get(name), sstable.written
+    monkeypatch.setattr(sstable, "written", lambda df, what, **k: (seen.append((what, spark.conf.get(name))), write(df, what, **k))[1])
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in sstable.tokens_written(docs).collect())[0] == 1
+    assert ("sst-files", str(sstable.BATCH_BYTES)) in seen and spark.conf.get(name) == before
+    texts = spark.range(200).repartition(1).selectExpr("repeat('x', 100000) as text")
+    with common.batches_of(spark, 1 << 20):
+        rows = texts.mapInArrow(lambda batches: (b.select(["n"]) for b in map(lambda b: b.append_column("n", [b.num_rows] * b.num_rows), batches)), "n long").agg(F.max("n")).first()
+    assert rows[0] <= 12
+
+
 def test_windows_of_a_long_text(spark):
     """Work grows with a text's windows, not with their square, and each form of each window comes out."""
     r = random.Random(5)
