@@ -16,6 +16,8 @@
    overlap (blocks of few members, each a tree of one leaf, many at a time), and pairs
    that the bound leaves are checked on the sets themselves. For that, the set of a
    pair's centre goes once to each TILE of its partners, whose sets stream past it.
+   Near texts meet in most of their blocks; a pair is given by the first of these only,
+   as far as the EARLY first blocks of both tell, and never by none.
 
 So a large group of near copies costs one check a member and block, not all pairs;
 members are compared in blocks of CHUNK, each pair of blocks in a task of its own, and a
@@ -44,6 +46,8 @@ DIMS, CHUNK, LEAF, FAN, TILE = 128, 2048, 16, 8, 64
 SKETCH, PARTS = 1 << 22, 64
 #: Elements in a bucket counted this often are dealt over tasks.
 OFTEN = 1 << 20
+#: Of a text's blocks that are compared, so many (the first by number) are known beside each of its rows.
+EARLY = 64
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -288,20 +292,35 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, a: int, b: int) -> DataFr
     return rows.mapInArrow(verify, "u long, v long")
 
 
+def met_before(early: np.ndarray, i: np.ndarray, j: np.ndarray, block: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Whether rows i and j of ``early`` (block numbers, each once in a row but for the largest number there is) share one below ``block``."""
+    out = np.zeros(len(i), bool)
+    for x in range(0, len(i), step):
+        both = np.sort(np.concatenate([early[i[x : x + step]], early[j[x : x + step]]], axis=1), axis=1)
+        out[x : x + step] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < block[x : x + step, None])).any(1)
+    return out
+
+
+def _with_early(members: DataFrame) -> DataFrame:
+    """``members`` (block, doc_id and others) with ``early``, the first EARLY blocks of each text, filled up with the largest number."""
+    blocks = F.concat(F.sort_array(F.collect_set("block")), F.array_repeat(F.lit((1 << 63) - 1), EARLY))
+    return members.join(members.groupBy("doc_id").agg(F.slice(blocks, 1, EARLY).alias("early")), "doc_id")
+
+
 def _across(members: DataFrame, a: int, b: int) -> DataFrame:
-    """u, v of one block and different components whose bound leaves a link possible. ``members``: block, size (rows of the block), doc_id, component, n, counts."""
+    """u, v of one block and different components whose bound leaves a link possible, each about once. ``members``: block, size (rows of the block), doc_id, component, n, counts, early."""
     import pandas as pd
 
     rows = members.withColumn("_c", F.ceil(F.col("size") / CHUNK)).withColumn("_own", F.pmod(F.xxhash64("doc_id"), F.col("_c")))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1)))
-    rows = rows.select("block", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "doc_id", "component", "n", "counts")
+    rows = rows.select("block", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "doc_id", "component", "n", "counts", "early")
 
     def arrays(rows: pd.DataFrame) -> list[np.ndarray]:
         points = np.frombuffer(b"".join(rows["counts"]), "<u4").reshape(len(rows), DIMS)
-        return [points, *(rows[c].to_numpy(np.int64) for c in ("doc_id", "component", "n"))]
+        return [points, np.stack(rows["early"].to_list()), *(rows[c].to_numpy(np.int64) for c in ("doc_id", "component", "n", "block"))]
 
     def compare(rows: pd.DataFrame) -> list[np.ndarray]:
-        points, ids, parts, n = arrays(rows)
+        points, early, ids, parts, n, block = arrays(rows)
         own = rows["_own"].to_numpy(np.int64)
         one, two = np.flatnonzero(own == rows["i"].iloc[0]), np.flatnonzero(own == rows["j"].iloc[0])
         x = CountTree(points[one], n[one])
@@ -310,18 +329,22 @@ def _across(members: DataFrame, a: int, b: int) -> DataFrame:
         i, j = one[found[:, 0]], two[found[:, 1]]
         keep = parts[i] != parts[j]
         keep &= ids[i] > ids[j] if y is x else True
-        return [np.maximum(ids[i], ids[j])[keep], np.minimum(ids[i], ids[j])[keep]]
+        i, j = i[keep], j[keep]
+        new = ~met_before(early, i, j, block[i])
+        return [np.maximum(ids[i], ids[j])[new], np.minimum(ids[i], ids[j])[new]]
 
     def compare_leaves(rows: pd.DataFrame, number: np.ndarray) -> list[np.ndarray]:
         """The same of many blocks of one leaf each; ``number`` counts the blocks."""
-        (points, ids, parts, n), found = arrays(rows), [np.empty((0, 2), np.int64)]
+        (points, early, ids, parts, n, block), found = arrays(rows), [np.empty((0, 2), np.int64)]
         for step in range(1, LEAF):
             i = np.flatnonzero(number[step:] == number[:-step])
             j = i + step
             keep = (parts[i] != parts[j]) & (np.minimum(n[i], n[j]) * b >= np.maximum(n[i], n[j]) * a)
             i, j = i[keep], j[keep]
             keep = np.minimum(points[i], points[j]).sum(1).astype(np.int64) * (a + b) >= a * (n[i] + n[j])
-            i, j = ids[i[keep]], ids[j[keep]]
+            i, j = i[keep], j[keep]
+            new = ~met_before(early, i, j, block[i])
+            i, j = ids[i[new]], ids[j[new]]
             found.append(np.stack([np.maximum(i, j), np.minimum(i, j)], 1))
         return list(np.unique(np.concatenate(found), axis=0).T)
 
@@ -348,7 +371,7 @@ def _across(members: DataFrame, a: int, b: int) -> DataFrame:
         if held is not None and len(held):
             yield from complete(held, np.array([0, len(held)]))
 
-    return rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(run, "u long, v long").distinct()
+    return rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(run, "u long, v long")
 
 
 def classes(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
@@ -394,8 +417,8 @@ def _links(docs: DataFrame, every: DataFrame, facts: DataFrame, reps: DataFrame,
     placed = met.join(small(parts), met["doc_id"] == parts["node"], "left").select("block", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     spread = placed.groupBy("block").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("size"))
     apart = spread.where(F.col("_x") != F.col("_y")).select("block", "size")
-    rest = written(placed.join(apart, "block").join(points, "doc_id").select("block", "size", "doc_id", "component", "n", "counts"), "shingle-apart")
-    more = written(_across(rest, a, b).join(near, ["u", "v"], "left_anti"), "shingle-near")
+    rest = _with_early(written(placed.join(apart, "block"), "shingle-apart")).join(points, "doc_id")
+    more = written(_across(rest, a, b).distinct().join(near, ["u", "v"], "left_anti"), "shingle-near")
     return links.union(written(_linked(more, docs, k, a, b), "shingle-links"))
 
 

@@ -107,6 +107,22 @@ def test_shared_passages_and_repeated_identifiers(spark, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in ngramjoin.classes(twice, 5, 4, 5).collect()} == {(7, 7), (8, 7), (9, 7)}
 
 
+@pytest.mark.parametrize("early", [64, 2])
+def test_texts_of_many_common_blocks_are_one_pair(spark, monkeypatch, early):
+    """Groups that meet in twelve blocks each: every two of different components come once, never less; more often only where lists were cut."""
+    monkeypatch.setattr(ngramjoin, "CHUNK", 16)
+    monkeypatch.setattr(ngramjoin, "EARLY", early)
+    counts = np.ones(ngramjoin.DIMS, "<u4").tobytes()
+    rows = [(1000 * size + block, size, 100 * size + i, 100 * size + i // 2, ngramjoin.DIMS, counts) for size in (6, 40) for block in range(12) for i in range(size) if (block + i) % 4]
+    members = spark.createDataFrame(rows, "block long, size long, doc_id long, component long, n long, counts binary")
+    found = [tuple(r) for r in ngramjoin._across(ngramjoin._with_early(members), 4, 5).select("u", "v").collect()]
+    blocks = {}
+    for block, size, doc, part, *_ in rows:
+        blocks.setdefault((block, size), []).append((doc, part))
+    wanted = {(max(x, y), min(x, y)) for own in blocks.values() for x, p in own for y, q in own if p != q}
+    assert set(found) == wanted and len(found) <= len(wanted) * (1 if early == 64 else 6)
+
+
 # -- 3 ----------------------------------------------------------------------
 
 
