@@ -164,6 +164,31 @@ def test_set_cover_against_one_at_a_time(spark):
     assert {r.seq_id: r.cluster for r in kernels.set_cover(df).collect()} == expected
 
 
+@pytest.mark.parametrize("most", [256, 60, 0])
+def test_centroids_on_either_side_of_the_switch(spark, monkeypatch, most):
+    """Nodes in one go and by words alike; equal texts, an empty one, a missing one, and no words to shuffle for small nodes."""
+    from cladeworks.functions import phylogeny as ph
+
+    random.seed(5)
+    base = ["".join(random.choice("ACGT") for _ in range(k)) for k in (40, 41, 60)]
+    rows = [(f"n{k % 3}", f"s{k:03d}", base[k % 2] + "A" * (k % 7) if k % 5 else base[2]) for k in range(90)]
+    rows += [("n0", "s900", ""), ("n0", "s901", ""), ("n1", "s902", None), ("n9", "s903", "ACGT")] + [("n1", f"t{k}", f"{base[2]}{'C' * k}") for k in range(40)]
+    frame = spark.createDataFrame(rows, "node string, seq_id string, sequence string")
+    expected = {}
+    for node in {r[0] for r in rows}:
+        own = sorted((-len(t), n, t) for x, n, t in rows if x == node and t is not None)
+        firsts, target = [], {}
+        for _, name, text in own:
+            near = [c for c, other in firsts if ph.edit_distances(text, [other])[0] <= 0.1 * len(text) + 1e-9]
+            target.setdefault(text, near[0] if near else name)
+            firsts += [] if near else [(name, text)]
+            expected[node, name] = target[text]
+    if most == 256:
+        monkeypatch.setattr(kernels, "_grams", None)
+    monkeypatch.setattr(kernels, "NODE", most)
+    assert {(r.node, r.query): r.target for r in kernels.centroids(frame, 0.9).collect()} == expected
+
+
 def test_centroids_against_one_at_a_time(spark):
     from cladeworks.functions import phylogeny as ph
 
