@@ -5,8 +5,11 @@
    fixed size (:data:`SKETCH` buckets).
 2. All sets are put in one order: by the sketch's count of an element, rarer ones first,
    then by hash. Two linked sets share at least ceil(t * n) elements of either, so
-   they share one of the first n - ceil(t * n) + 1. Each class sends these elements,
-   and the classes of one element are a block. This loses no pair, whatever the
+   they share one of the first n - ceil(t * n) + 1. Each class sends these elements
+   with its size and a small sketch of itself. The classes of one element whose sizes follow
+   one another closely enough are a block; in blocks of up to MANY, a class that sizes and
+   sketches keep from all others is left out (texts share many elements by chance, and more
+   in larger tables). This loses no pair, whatever the
    order; the counts only see to it that what very many texts share makes no block.
 3. Every member of a block is first checked against one of them, that which is in
    most blocks: sizes, then count vectors (elements hashed into DIMS groups, the sum of
@@ -36,7 +39,6 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import hashes_of, mix64, scratch, small, table, text_bytes, words_in, written
 from .components import components
@@ -48,6 +50,8 @@ SKETCH, PARTS = 1 << 22, 64
 OFTEN = 1 << 20
 #: Of a text's blocks that are compared, so many (the first by number) are known beside each of its rows.
 EARLY = 64
+#: Largest block whose members' sketches are all held against each other before anything else.
+MANY = 64
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -95,6 +99,55 @@ def prefixes(sets: list[np.ndarray], rarity: np.ndarray, a: int, b: int) -> tupl
     return elements[place < np.repeat(sent, sizes)], sent
 
 
+def sketch_of(elements: np.ndarray) -> np.ndarray:
+    """How many of a set's elements hash into each of 32 groups, modulo 16, as two integers."""
+    counts = np.bincount((elements >> np.uint64(50)).astype(np.int64) & 31, minlength=32).astype(np.uint64) & np.uint64(15)
+    return (counts.reshape(2, 16) << np.arange(0, 64, 4, dtype=np.uint64)).sum(1, dtype=np.uint64)
+
+
+def least_apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """At least so many elements are in one set only, for rows of sketches of two sets each."""
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    groups = lambda x: (x[:, :, None] >> shifts & np.uint64(15)).astype(np.int8).reshape(len(x), 32)
+    apart = (groups(p) - groups(q)) & np.int8(15)
+    return np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
+
+
+def may_link(element: np.ndarray, salt: np.ndarray, key: np.ndarray, n: np.ndarray, sketches: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that may link with another of their element, and the number of each one's block.
+
+    Rows are sorted by element, salt, n and key; those of an element with salts are all kept, in one block.
+    """
+    same = np.zeros(len(element), bool)
+    same[1:] = (element[1:] == element[:-1]) & (salt[1:] == salt[:-1])
+    again = same.copy()
+    again[1:] &= key[1:] == key[:-1]
+    rows = np.flatnonzero(~again)
+    e, s, m, same = element[rows], salt[rows], n[rows], same[rows]
+    cut = ~same
+    cut[1:] |= (s[1:] == 0) & (m[:-1] * b < m[1:] * a)
+    run = np.cumsum(cut) - 1
+    size = np.bincount(run, minlength=1)[run] if len(run) else run
+    first = run[np.maximum.accumulate(np.where(same, 0, np.arange(len(rows))))]
+    block = np.where(run == first, e, mix64(e.view(np.uint64) + (run - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+    keep = (s > 0) | (size > MANY)
+    few = np.flatnonzero((s == 0) & (size > 1) & (size <= MANY))
+    r, m, x = run[few], m[few], sketches[rows[few]]
+    near = np.zeros(len(few), bool)
+    for step in range(1, min(MANY, len(few))):
+        i = np.flatnonzero(r[step:] == r[:-step])
+        if not len(i):
+            break
+        j = i + step
+        fits = m[i] * b >= m[j] * a
+        i, j = i[fits], j[fits]
+        # sets of m[i] and m[j] elements that link have at most (b - a) / (a + b) of these in one of them only
+        fits = least_apart(x[i], x[j]) * (a + b) <= (b - a) * (m[i] + m[j])
+        near[i[fits]] = near[j[fits]] = True
+    keep[few] = near
+    return rows[keep], block[keep]
+
+
 class CountTree:
     """An R-tree over points of counts; nodes hold the largest coordinate and the smallest size below them."""
 
@@ -198,7 +251,7 @@ def rarity_of(facts: DataFrame) -> np.ndarray:
 
 
 def sent_elements(docs: DataFrame, k: int, a: int, b: int, rarity: np.ndarray) -> DataFrame:
-    """element, salt, key: what each distinct set of a task sends. Elements counted often have several salts."""
+    """element, salt, key, n, low, high (a sketch): what each distinct set of a task sends. Elements counted often have several salts."""
     import pyarrow as pa
 
     held = docs.sparkSession.sparkContext.broadcast(rarity)
@@ -218,9 +271,42 @@ def sent_elements(docs: DataFrame, k: int, a: int, b: int, rarity: np.ndarray) -
             key = mix64(np.repeat(np.array(keys, np.uint64), sent))
             salts = np.maximum(2.0 ** (held.value[buckets_of(elements)] / 4.0) / often, 1).astype(np.uint64)
             salt = np.where(salts > 1, key % salts + np.uint64(1), np.uint64(0)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(elements.view(np.int64)), pa.array(salt), pa.array(key.view(np.int64))], names=["element", "salt", "key"])
+            n = np.repeat(np.array([len(x) for x in sets], np.int32), sent)
+            low, high = np.repeat(np.array([sketch_of(x) for x in sets], np.uint64).reshape(-1, 2), sent, axis=0).T
+            columns = [elements.view(np.int64), salt, key.view(np.int64), n, low.copy().view(np.int64), high.copy().view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["element", "salt", "key", "n", "low", "high"])
 
-    return docs.select(F.lit(0).alias("none"), "text").mapInArrow(run, "element long, salt int, key long")
+    return docs.select(F.lit(0).alias("none"), "text").mapInArrow(run, "element long, salt int, key long, n int, low long, high long")
+
+
+def shared_elements(sent: DataFrame, a: int, b: int) -> DataFrame:
+    """element (a number of its block), key: the rows of ``sent`` that may link with another of their element, each once."""
+    import pyarrow as pa
+
+    def ready(held):
+        element, salt, key, n, low, high = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in range(6))
+        rows, block = may_link(element, salt, key, n.astype(np.int64), np.stack([low, high], 1).view(np.uint64), a, b)
+        return pa.RecordBatch.from_arrays([pa.array(block), pa.array(key[rows])], names=["element", "key"])
+
+    def run(batches):
+        held, here = [], None
+        for x in batches:
+            if not x.num_rows:
+                continue
+            element, salt = x.column(0).to_numpy(), x.column(1).to_numpy()
+            before = np.flatnonzero((element != element[-1]) | (salt != salt[-1]))
+            to, last = int(before[-1]) + 1 if len(before) else 0, (element[-1], salt[-1])
+            if held and (to or last != here):
+                yield ready([*held, x.slice(0, to)])
+                held = []
+            elif to:
+                yield ready([x.slice(0, to)])
+            held.append(x.slice(to))
+            here = last
+        if held:
+            yield ready(held)
+
+    return sent.repartition("element", "salt").sortWithinPartitions("element", "salt", "n", "key").mapInArrow(run, "element long, key long")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
@@ -393,10 +479,7 @@ def classes(docs: DataFrame, k: int, a: int, b: int) -> DataFrame:
 
 def _links(docs: DataFrame, every: DataFrame, facts: DataFrame, reps: DataFrame, k: int, a: int, b: int) -> DataFrame:
     """u, v: links between classes that join all of a component."""
-    sent = sent_elements(docs, k, a, b, rarity_of(every)).repartition("element", "salt")
-    own = Window.partitionBy("element", "salt")
-    sent = sent.withColumns({"_min": F.min("key").over(own), "_max": F.max("key").over(own)})
-    shared = written(sent.where((F.col("_min") != F.col("_max")) | (F.col("salt") > 0)).select("element", "key").distinct(), "shingle-shared")
+    shared = written(shared_elements(sent_elements(docs, k, a, b, rarity_of(every)), a, b), "shingle-shared")
     # elements of the same classes are one block
     low = F.xxhash64("key").bitwiseAND(F.lit((1 << 32) - 1))
     sums = shared.groupBy("element").agg(F.sum(low).alias("_s"), F.count("*").alias("_n"), F.min("key").alias("_x"), F.max("key").alias("_y")).where(F.col("_n") > 1)
