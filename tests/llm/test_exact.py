@@ -230,6 +230,16 @@ def test_windows_of_a_long_text(spark):
     assert time.time() - began < 15
 
 
+def test_a_window_holds_no_whole_text(spark):
+    """What is exploded to windows keeps a text's key beside each, not the codes of all its words."""
+    df = spark.createDataFrame([(1, "one two"), (2, None), (3, "Red 7 kg blue w9 Name")], "doc_id long, text string")
+    windows = decontaminate._windows_of(df, ["doc_id"], "_pos")
+    nodes = re.findall(r"Generate .*, \[([^\]]*)\], \w+, \[", windows._jdf.queryExecution().executedPlan().toString())
+    assert len(nodes) == 2 and all("_t#" not in x and "_f#" not in x and "_w#" not in x for x in nodes)
+    # texts of too few words have no window at all
+    assert {(r.doc_id, r._pos) for r in windows.collect()} == {(3, 0), (3, 1)}
+
+
 def test_decontamination_on_whole_table(spark):
     items = duckdb.sql(f"select item_id, text from '{SF}/benchmark.parquet'").fetchall()
     found = decontaminate.op3_template_decontamination(spark, SF).collect()
