@@ -134,3 +134,28 @@ def test_guides_and_edges(spark):
         assert got[:3] == [("a", "x@1", "ACGTACGTTT"), ("a", "y@1", got[1][2]), ("a", "z@1", "ACG-ACGTTT")] and len(got[1][2]) == 10
         assert [r for r in got if r[0] == "c"] == [("c", "e", "---"), ("c", "n", "---"), ("c", "w", "ACé")]
     assert progressive.aligned(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("protein", [False, True])
+def test_pairs_made_together_are_those_made_alone(monkeypatch, protein):
+    rng = np.random.default_rng(7)
+    size = 20 if protein else 4
+
+    def profile(n):
+        rows = int(rng.integers(1, 5))
+        return np.eye(size + 1)[rng.integers(0, size + 1, (rows, n))].sum(0)[:, :size].astype(np.float32), rows, rng.integers(0, 3, n).astype(np.int8)
+
+    jobs = []
+    for n, m in [(0, 0), (0, 7), (9, 0), (1, 1), (300, 20), (20, 300), *rng.integers(1, 120, (40, 2))]:
+        (a, na, ma), (b, nb, mb) = profile(n), profile(m)
+        jobs.append((a, b, na, nb, ma, mb))
+    jobs += [(a, b, na, nb, np.zeros(len(a), np.int8), np.zeros(len(b), np.int8)) for a, b, na, nb, *_ in jobs]
+    alone = [pf.align_profiles(*x) for x in jobs]
+    calls = []
+    together = pf._together
+    monkeypatch.setattr(pf, "_together", lambda own: calls.append(len(own)) or together(own))
+    for held in (pf.HELD, 5000):  # tables of more cells are made alone
+        monkeypatch.setattr(pf, "HELD", held)
+        found = pf.align_many(jobs)
+        assert all(x[2] == y[2] and (x[0] == y[0]).all() and (x[1] == y[1]).all() for x, y in zip(found, alone, strict=True))
+    assert max(calls) > 5 and sum(calls) < 2 * len(jobs)
