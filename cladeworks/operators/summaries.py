@@ -38,9 +38,19 @@ def exact_mean(value: Column) -> Column:
     return F.when(F.count(digits) == F.count(value), (F.sum(digits) / F.count(value).cast("decimal(19,0)")).cast("double")).otherwise(F.avg(value))
 
 
-def support_overall(values: DataFrame, high: float = 0.95, low: float = 0.50) -> DataFrame:
-    """One row over all branches' means: mean, median, min, max, how many above ``high`` and below ``low``, in percent too."""
-    m = values.groupBy("branch_id").agg(exact_mean(F.col("value")).alias("m"))
+def mean_in_order(value: Column, *place: str) -> Column:
+    """Mean of a group's numbers as doubles, summed by their places (columns): what one reader of a table gets, however it is dealt here."""
+    rows = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(*place, value.alias("_x")))))
+    return F.when(F.size(rows) > 0, F.aggregate(rows, F.lit(0.0), lambda s, x: s + x["_x"]) / F.size(rows))
+
+
+def support_overall(values: DataFrame, high: float = 0.95, low: float = 0.50, place: tuple[str, ...] = ()) -> DataFrame:
+    """One row over all branches' means: mean, median, min, max, how many above ``high`` and below ``low``, in percent too.
+
+    Means are by their digits, or with ``place`` doubles summed in the order of these columns.
+    """
+    value = F.col("value")
+    m = values.groupBy("branch_id").agg((mean_in_order(value, *place) if place else exact_mean(value)).alias("m"))
     n = F.count("*")
     pct = lambda c: F.round(F.when(n > 0, F.count_if(c) * 100.0 / n).otherwise(0.0), 2)
     return m.agg(n.alias("branches"), F.round(F.avg("m"), 6).alias("mean"), F.round(F.median("m"), 6).alias("median"), F.round(F.min("m"), 6).alias("min"), F.round(F.max("m"), 6).alias("max"), F.count_if(F.col("m") > high).alias("high"), F.count_if(F.col("m") < low).alias("low"), pct(F.col("m") > high).alias("high_pct"), pct(F.col("m") < low).alias("low_pct"))

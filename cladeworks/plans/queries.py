@@ -213,8 +213,8 @@ def species_coverage(spark, d) -> DataFrame:
     return summaries.species_coverage(table(spark, d, "orders").select(F.col("o_custkey").alias("tree_id"), F.col("o_orderpriority").alias("species")))
 
 
-def _support(spark, d) -> DataFrame:
-    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("branch_id"), (F.col("l_quantity") / 50).alias("value"))
+def _support(spark, d, *more: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("branch_id"), (F.col("l_quantity") / 50).alias("value"), *more)
 
 
 @query("select l_partkey as branch_id, cast(count(*) as bigint) as n, round(avg(l_quantity / 50), 6) as mean, round(median(l_quantity / 50), 6) as median, min(l_quantity / 50) as min, max(l_quantity / 50) as max from lineitem group by 1")
@@ -224,7 +224,8 @@ def branch_support_stats(spark, d) -> DataFrame:
 
 @query("with m as (select avg(l_quantity / 50) as m from lineitem group by l_partkey) select cast(count(*) as bigint) as branches, round(avg(m), 6) as mean, round(median(m), 6) as median, round(min(m), 6) as min, round(max(m), 6) as max, cast(count(*) filter (m > 0.7) as bigint) as high, cast(count(*) filter (m < 0.4) as bigint) as low, round(count(*) filter (m > 0.7) * 100e0 / count(*), 2) as high_pct, round(count(*) filter (m < 0.4) * 100e0 / count(*), 2) as low_pct from m")
 def rpt_astral_support(spark, d) -> DataFrame:
-    return summaries.support_overall(_support(spark, d), 0.7, 0.4)
+    # as its SQL: doubles in the table's order
+    return summaries.support_overall(_support(spark, d, "_metadata.file_name", "_metadata.row_index"), 0.7, 0.4, ("file_name", "row_index"))
 
 
 @query("select round(avg(o_totalprice), 4) as mean_log_likelihood, round(avg(case when o_orderstatus = 'F' then o_totalprice end), 6) as mean_tree_length, round(avg(case when o_orderstatus = 'O' then o_totalprice end), 4) as mean_informative_pct from orders")

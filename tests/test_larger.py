@@ -138,3 +138,25 @@ def test_profiles_align_alike_however_much_is_held(monkeypatch):
     monkeypatch.setattr(pf, "HELD", 0)
     parts = pf.align_profiles(a, b, 1, 1)
     assert all((x == y).all() for x, y in zip(whole[:2], parts[:2], strict=True)) and whole[2] == parts[2]
+
+
+def test_means_of_the_support_report_are_summed_in_the_order_of_its_table(spark, tmp_path):
+    """As its SQL on one thread gives, however rows are dealt."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    import __spark_entry__
+
+    rng, keys, quantities, values = random.Random(2), [], [], [7.0, 33.0] * 12 + [1.0, 39.0] * 3 + [20.0] * 2
+    for k in range(40):
+        rng.shuffle(values)
+        keys += [k] * len(values)
+        quantities += values
+    pq.write_table(pa.table({"l_partkey": keys, "l_quantity": quantities}), tmp_path / "lineitem.parquet", row_group_size=100)
+    con = duckdb.connect()
+    con.execute("set threads = 1")
+    con.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet'")
+    want = con.execute(__spark_entry__.oracle_sql()["rpt_astral_support"]).fetchone()
+    got = __spark_entry__.queries()["rpt_astral_support"](spark, str(tmp_path)).first()
+    assert tuple(got) == want and got["low"] > 0
